@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from shelfcast.catalog import feature_queries, registry
+    from shelfcast.catalog import feature_queries, forecast_queries, hierarchy_queries, model_queries, registry
 
     return registry
 

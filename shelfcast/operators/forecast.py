@@ -66,9 +66,9 @@ def blend_wide(forecasts: Sequence[DataFrame], horizon: int = HORIZON) -> DataFr
     stacked = forecasts[0].select("id", *cols)
     for f in forecasts[1:]:
         stacked = stacked.unionByName(f.select("id", *cols))
-    sums = [F.sum(c).alias(c) for c in cols]
-    total = stacked.groupBy("id").agg(*sums, F.count("*").alias("_n")).where(F.col("_n") == n)
-    return total.select("id", *[(F.col(c) / n).alias(c) for c in cols])
+    # A cell that is empty in any of the tables stays empty.
+    means = [F.when(F.count(c) == n, F.sum(c) / n).alias(c) for c in cols]
+    return stacked.groupBy("id").agg(*means, F.count("*").alias("_n")).where(F.col("_n") == n).drop("_n")
 
 
 def missing_ids(forecast: DataFrame, expected: DataFrame) -> DataFrame:

@@ -58,12 +58,13 @@ def revenue_weight(
     are taken inside each group (the per-store hierarchy, H2).
     """
     nodes = rollup(leaf_revenue, [value], by=by, levels=levels)
+    # Every level adds up to the same total, so the grand total needs the leaves only.
+    total = (F.sum(value) * len(levels)).alias("_all")
     if by:
         # One row per group: a handful of stores.
-        total = nodes.groupBy(*by).agg(F.sum(value).alias("_all"))
-        shares = nodes.join(total, list(by))
+        shares = nodes.join(leaf_revenue.groupBy(*by).agg(total), list(by))
     else:
-        shares = nodes.withColumn("_all", nodes.agg(F.sum(value)).scalar())
+        shares = nodes.withColumn("_all", leaf_revenue.agg(total).scalar())
     return shares.select(
         "level", "node", *by, F.col(value).cast("double").alias("revenue"), (F.col(value) / F.col("_all")).alias("weight")
     )
@@ -75,8 +76,13 @@ def revenue_in_window(fact: DataFrame, after: int, until: int) -> DataFrame:
 
 
 def node_weights(scale: DataFrame, weight: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Scale and weight side by side, for nodes that have a positive scale (Q4)."""
-    return weight.join(scale, ["level", "node", *by], "inner").where(F.col("scale") > 0)
+    """Scale and weight of every node with a positive scale (Q4); no revenue is a weight of zero."""
+    keys = ["level", "node", *by]
+    return (
+        scale.where(F.col("scale") > 0)
+        .join(weight.select(*keys, "weight"), keys, "left")
+        .select(*keys, F.coalesce("weight", F.lit(0.0)).alias("weight"), "scale")
+    )
 
 
 def scaled_weight(weights: DataFrame) -> DataFrame:

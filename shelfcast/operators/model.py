@@ -61,26 +61,42 @@ def params_for(store: str, base: TreeParams, overrides: dict[str, dict]) -> Tree
 
 
 def fit_indexers(frame: DataFrame, categorical: Sequence[str]) -> PipelineModel:
-    """Label indexes, fitted once on training rows and kept with the model.
+    """Label indexes in label order, fitted once on training rows and kept with the model.
 
-    Unseen labels share one extra index.
+    Unseen labels share one extra index. The labels of a key (items of a store,
+    days of a month) are bounded by the key's dimension, not by the fact.
     """
     out = [f"{c}__ix" for c in categorical]
-    indexer = StringIndexer(inputCols=list(categorical), outputCols=out, handleInvalid="keep")
+    indexer = StringIndexer(inputCols=list(categorical), outputCols=out, stringOrderType="alphabetAsc", handleInvalid="keep")
     return Pipeline(stages=[indexer]).fit(frame.select(*[F.col(c).cast("string").alias(c) for c in categorical]))
 
 
-def design(frame: DataFrame, features: Sequence[str], indexers: PipelineModel | None, categorical: Sequence[str]) -> DataFrame:
-    """Feature vector column (R20). Missing numbers become a value far below the data."""
+def design(
+    frame: DataFrame,
+    features: Sequence[str],
+    indexers: PipelineModel | None = None,
+    categorical: Sequence[str] = (),
+    bins: int = 255,
+) -> DataFrame:
+    """Feature vector column (R20). Missing numbers become a value far below the data.
+
+    A key with more labels than ``bins`` enters as an ordered number: a tree can
+    split categories only if each label has a bin.
+    """
+    categorical = [c for c in categorical if c in features]
     if indexers is not None:
         texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in categorical}
         originals = [F.col(c).alias(f"{c}__raw") for c in categorical]
         frame = indexers.transform(frame.select("*", *originals).withColumns(texts))
         frame = frame.drop(*categorical).withColumnsRenamed({f"{c}__raw": c for c in categorical})
+        stage = indexers.stages[0]
+        sizes = dict(zip(stage.getOutputCols(), map(len, stage.labelsArray)))
+        # Arithmetic drops the category metadata.
+        wide = [c for c, n in sizes.items() if n + 1 > bins and c in frame.columns]
+        frame = frame.withColumns({c: F.col(c) + F.lit(0.0) for c in wide})
+    numbers = [c for c in features if c not in categorical]
+    frame = frame.withColumns({f"{c}__num": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numbers})
     inputs = [f"{c}__ix" if c in categorical else f"{c}__num" for c in features]
-    frame = frame.withColumns(
-        {f"{c}__num": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in features if c not in categorical}
-    )
     vector = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
     return vector.transform(frame).drop(*inputs)
 
@@ -186,11 +202,11 @@ def train_and_score(
     labelled = store.where(fit_rows & F.col(label).isNotNull())
     indexers = fit_indexers(labelled.where(F.col(train_flag)), categorical) if categorical else None
     extra = [c for c in (weight, validation_flag) if c is not None]
-    train = checkpointed(design(labelled, features, indexers, categorical).select("features", label, *extra))
+    train = checkpointed(design(labelled, features, indexers, categorical, params.bins).select("features", label, *extra))
     model = fit_trees(train, params, label, weight, validation_flag)
     if model_folder is not None:
         save_model(model, model_folder, task)
-    scored = model.transform(design(store.where(F.col(score_flag)), features, indexers, categorical))
+    scored = model.transform(design(store.where(F.col(score_flag)), features, indexers, categorical, params.bins))
     return model, scored.select(*keep, "pred").withColumns(
         {"term": F.lit(task.term), "horizon": F.lit(task.horizon), "store_id": F.lit(task.store)}
     )
