@@ -110,6 +110,11 @@ def fit_trees(
     checkpoint_every: int = 10,
 ):
     """One boosted-tree model over a distributed design frame (M2, M4)."""
+    optional = {}
+    if weight is not None:
+        optional["weightCol"] = weight
+    if validation_flag is not None:
+        optional |= {"validationIndicatorCol": validation_flag, "validationTol": params.early_stop}
     gbt = GBTRegressor(
         featuresCol="features",
         labelCol=label,
@@ -123,11 +128,8 @@ def fit_trees(
         minInstancesPerNode=params.rows_per_leaf,
         checkpointInterval=checkpoint_every,
         seed=params.seed,
+        **optional,
     )
-    if weight is not None:
-        gbt = gbt.setWeightCol(weight)
-    if validation_flag is not None:
-        gbt = gbt.setValidationIndicatorCol(validation_flag).setValidationTol(params.early_stop)
     return gbt.fit(train)
 
 
