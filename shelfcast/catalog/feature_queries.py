@@ -585,34 +585,34 @@ def first_positive_day(spark, sf):
 # ---------------------------------------------------------------- lags
 
 
-def rolled(spark, sf, rolls, digits=4, value="residual"):
-    rows = ol.add_rolls(target(spark, sf), rolls, value)
-    return rows.select("id", "d", *[F.round(x.name, digits).alias(x.name) for x in rolls])
+def rolled(spark, sf, rolls, digits=4):
+    rows = ol.add_rolls(target(spark, sf), rolls)
+    return rows.select("id", "d", *[r.rounded(x.name, digits).alias(x.name) for x in rolls])
 
 
-def _sql_roll(roll, value="residual"):
+def _sql_roll(roll, value="residual", rounding=r.sql_rounded):
     """Window expression over the shifted column, as the definition has it: shift first, then roll."""
     shifted_value = f"lag({value}, {roll.shift}) OVER (PARTITION BY id ORDER BY d)"
     if roll.fn == "lag":
-        return None, f"round({shifted_value}, 4) AS {roll.name}"
+        return None, f"{rounding(shifted_value)} AS {roll.name}"
     col = f"s{roll.shift}"
     fn = {"mean": "avg", "std": "stddev_samp", "max": "max", "min": "min", "median": "median", "skew": "skewness", "kurt": "kurtosis"}[roll.fn]
     over = (
         f"OVER (PARTITION BY id, d % {roll.stride} ORDER BY d ROWS BETWEEN {roll.window - 1} PRECEDING AND CURRENT ROW)"
     )
-    expr = f"CASE WHEN count({col}) {over} = {roll.window} THEN round({fn}({col}) {over}, 4) END AS {roll.name}"
+    expr = f"CASE WHEN count({col}) {over} = {roll.window} THEN {rounding(f'{fn}({col}) {over}')} END AS {roll.name}"
     return (f"{shifted_value} AS {col}", expr)
 
 
-def _sql_rolls(rolls, tail="", source=None):
+def _sql_rolls(rolls, rounding=r.sql_rounded):
     shifts, exprs = [], []
     for roll in rolls:
-        s, e = _sql_roll(roll)
+        s, e = _sql_roll(roll, rounding=rounding)
         if s and s not in shifts:
             shifts.append(s)
         exprs.append(e)
     inner = "target" if not shifts else f"(SELECT *, {', '.join(shifts)} FROM target)"
-    return f"SELECT id, CAST(d AS INTEGER) AS d, {', '.join(exprs)} FROM {inner}{tail}"
+    return f"SELECT id, CAST(d AS INTEGER) AS d, {', '.join(exprs)} FROM {inner}"
 
 
 def _register_rolls(name, rolls, doc):
@@ -642,8 +642,8 @@ _register_rolls(
 
 def _lag_frame_sql(h):
     rolls = lag_manifest(h)
-    sums = ", ".join(f"round(sum({x.name}), 4) AS {x.name}, count({x.name}) AS n_{x.name}" for x in rolls)
-    return f"WITH {r.SQL_TARGET} SELECT id, {sums} FROM ({_sql_rolls(rolls)}) GROUP BY id"
+    sums = ", ".join(f"round(sum({x.name}), 3) AS {x.name}, count({x.name}) AS n_{x.name}" for x in rolls)
+    return f"WITH {r.SQL_TARGET} SELECT id, {sums} FROM ({_sql_rolls(rolls, str)}) GROUP BY id"
 
 
 def _lag_frame(h):
@@ -651,8 +651,8 @@ def _lag_frame(h):
         rolls = lag_manifest(h)
         sums = []
         for x in rolls:
-            sums += [F.round(F.sum(x.name), 4).alias(x.name), F.count(x.name).alias(f"n_{x.name}")]
-        return rolled(spark, sf, rolls).groupBy("id").agg(*sums)
+            sums += [F.round(F.sum(x.name), 3).alias(x.name), F.count(x.name).alias(f"n_{x.name}")]
+        return ol.add_rolls(target(spark, sf), rolls).groupBy("id").agg(*sums)
 
     run.__doc__ = f"R22, R5, F28: every lag column of horizon {h}, summed per series."
     return run

@@ -108,6 +108,8 @@ def naive_errors(spark, sf):
     hi = r.last_day(spark, sf)
     lo = hi - N_DAYS + 1
     leaf = r.leaf_sales(spark, sf).where(F.col("d") > lo - WINDOW - max(ANCHORS))
+    # Each row becomes up to 140, so the number of partitions is set before and not by the input's size.
+    leaf = leaf.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     keys = ["id", "state_id", "store_id", "cat_id", "dept_id", "item_id"]
     anchors = leaf.select(*keys, "d", "sales", F.explode(F.array(*[F.lit(a) for a in ANCHORS])).alias("anchor"))
     at = F.col("d") + F.col("anchor")
@@ -160,12 +162,12 @@ half AS (SELECT anchor, level, node, max(CASE WHEN k = 84 THEN e END) AS hw_005,
 
 @query(
     "rollup_errors",
-    f"WITH {SQL_NODE_ERR} SELECT level, node, CAST(anchor AS INTEGER) AS anchor, CAST(d AS INTEGER) AS d, round(err, 4) AS err FROM node_err",
+    f"WITH {SQL_NODE_ERR} SELECT level, node, CAST(anchor AS INTEGER) AS anchor, CAST(d AS INTEGER) AS d, {r.sql_rounded('err')} AS err FROM node_err",
 )
 def rollup_errors(spark, sf):
     """Signed errors summed to every node before the absolute value."""
-    sums = oh.rollup(naive_errors(spark, sf), ["err"], by=["anchor", "d"])
-    return sums.select("level", "node", "anchor", "d", F.round("err", 4).alias("err"))
+    sums = oh.rollup(naive_errors(spark, sf), ["err"], by=["anchor", "d"], leaf_rows=True)
+    return sums.select("level", "node", "anchor", "d", r.rounded("err").alias("err"))
 
 
 @query(
@@ -254,7 +256,7 @@ def forecast_layout(spark, sf):
 )
 def rollup_forecast(spark, sf):
     """Point forecasts of every node."""
-    return oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"]).withColumn("forecast", F.round("forecast", 6))
+    return oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True).withColumn("forecast", F.round("forecast", 6))
 
 
 @query(
@@ -323,17 +325,17 @@ quantiles AS (
 
 @query(
     "interval_quantiles",
-    f"""WITH {SQL_INTERVAL} SELECT level, node, h, CAST(q AS DOUBLE) AS q, round(value, 4) AS value FROM quantiles""",
+    f"""WITH {SQL_INTERVAL} SELECT level, node, h, CAST(q AS DOUBLE) AS q, {r.sql_rounded('value')} AS value FROM quantiles""",
 )
 def interval_quantiles(spark, sf):
     """Nine quantiles per node and horizon; nodes without a forecast row have none."""
-    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"])
-    return oi.interval_rows(nodes, half(spark, sf)).withColumn("value", F.round("value", 4))
+    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
+    return oi.interval_rows(nodes, half(spark, sf)).withColumn("value", r.rounded("value"))
 
 
 def dense_node_forecast(spark, sf):
     """Wide point forecasts; a horizon without a row is a forecast of zero."""
-    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"])
+    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
     return of.forecast_wide(nodes, index=("level", "node")).na.fill(0.0)
 
 
@@ -348,14 +350,14 @@ def dense_node_forecast(spark, sf):
         CASE WHEN g.h <= 4 THEN 1 WHEN g.h <= 11 THEN 7 WHEN g.h <= 18 THEN 14 WHEN g.h <= 25 THEN 21 ELSE 28 END),
     long AS (SELECT node, h, unnest(['0.005', '0.025', '0.165', '0.250', '0.500', '0.750', '0.835', '0.975', '0.995']) AS q,
       unnest([greatest(p - a, 0), greatest(p - b, 0), greatest(p - c, 0), greatest(p - e, 0), p, p + e, p + c, p + b, p + a]) AS value FROM full_q),
-    wide AS (SELECT node, q, {', '.join(f'round(sum(CASE WHEN h = {h} THEN value END), 4) AS F{h}' for h in range(1, 29))} FROM long GROUP BY 1, 2)
+    wide AS (SELECT node, q, {', '.join(f'{r.sql_rounded(f"sum(CASE WHEN h = {h} THEN value END)")} AS F{h}' for h in range(1, 29))} FROM long GROUP BY 1, 2)
     SELECT node || '_' || q || '_' || s AS id, {', '.join(f'F{h}' for h in range(1, 29))}
     FROM wide, (SELECT unnest(['evaluation', 'validation']) AS s)""",
 )
 def interval_layout(spark, sf):
     """Nine quantiles and two suffixes per node, F1..F28."""
     wide = oi.interval_layout(dense_node_forecast(spark, sf), half(spark, sf))
-    return wide.select("id", *[F.round(c, 4).alias(c) for c in of.horizon_columns()])
+    return wide.select("id", *[r.rounded(c).alias(c) for c in of.horizon_columns()])
 
 
 # ---------------------------------------------------------------- tables and files

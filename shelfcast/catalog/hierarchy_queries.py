@@ -83,7 +83,7 @@ def residual_by_node(spark, sf):
 
 
 def node_daily(spark, sf, by=()):
-    return oh.rollup(r.leaf_sales(spark, sf).withColumn("part", F.col("store_id")), ["sales"], by=[*by, "d"])
+    return oh.rollup(r.leaf_sales(spark, sf).withColumn("part", F.col("store_id")), ["sales"], by=[*by, "d"], leaf_rows=True)
 
 
 def scale(spark, sf):
@@ -177,10 +177,9 @@ def series_training_weight(spark, sf):
 def baseline_errors(spark, sf):
     """Error of the 365-day baseline on the last 28 days of every series."""
     hi = r.last_day(spark, sf)
-    rows = ot.baseline_on(r.leaf_sales(spark, sf), hi - 27, hi)
-    rows = rows.select("id", "d", (F.col("baseline") - F.col("sales")).alias("err"))
-    series = r.leaf_series(spark, sf).withColumn("part", F.col("store_id"))
-    return rows.join(series, "id")
+    keys = ["state_id", "store_id", "cat_id", "dept_id", "item_id"]
+    rows = ot.baseline_on(r.leaf_sales(spark, sf), hi - 27, hi, keep=keys)
+    return rows.withColumns({"err": F.col("baseline") - F.col("sales"), "part": F.col("store_id")})
 
 
 SQL_ERRORS = f"""{SQL_WEIGHTS},
@@ -280,14 +279,14 @@ def _residual_sql():
     total = " + ".join(f"coalesce(g{level}.g, 0)" for level in om.RESIDUAL_LEVELS)
     return f"""WITH {SQL_ERRORS}, g AS (SELECT n.level, n.node, n.d, n.err / w.scale * w.weight AS g FROM node_err n
       JOIN weights w ON w.level = n.level AND w.node = n.node)
-    SELECT e.id, CAST(e.d AS INTEGER) AS d, round(e.err, 6) AS err, round({total}, 6) AS residual_gradient FROM errors e {' '.join(sums)}"""
+    SELECT e.id, CAST(e.d AS INTEGER) AS d, {r.sql_rounded("e.err", 6)} AS err, {r.sql_rounded(total, 6)} AS residual_gradient FROM errors e {' '.join(sums)}"""
 
 
 @query("hierarchical_residual", _residual_sql())
 def hierarchical_residual(spark, sf):
     """Node residuals over six levels, on every leaf day."""
     out = om.hierarchical_residual(baseline_errors(spark, sf), weights(spark, sf))
-    return out.select("id", "d", F.round("err", 6).alias("err"), F.round("residual_gradient", 6).alias("residual_gradient"))
+    return out.select("id", "d", r.rounded("err", 6).alias("err"), r.rounded("residual_gradient", 6).alias("residual_gradient"))
 
 
 @query(

@@ -37,6 +37,16 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rounded(col: Column | str, digits: int = 4) -> Column:
+    """Round half up in plain floating-point steps, which both engines do alike."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.floor(col * float(10**digits) + 0.5) / float(10**digits)
+
+
+def sql_rounded(expr: str, digits: int = 4) -> str:
+    return f"floor(({expr}) * {10**digits}.0::DOUBLE + 0.5::DOUBLE) / {10**digits}.0::DOUBLE"
+
+
 def last_day(spark: SparkSession, sf_dir: str) -> int:
     """Last observed day: one aggregate over one column."""
     return lines(spark, sf_dir).agg(F.max("d")).first()[0]

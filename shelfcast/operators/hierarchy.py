@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.schema import LEVELS
+from shelfcast.schema import LEAF, LEVELS
 
 
 def node_label(keys: Sequence[str]) -> Column:
@@ -73,6 +73,7 @@ def rollup(
     by: Sequence[str] = (),
     levels: dict = LEVELS,
     parts: dict | None = None,
+    leaf_rows: bool = False,
 ) -> DataFrame:
     """Sum leaf rows up to every node of every level.
 
@@ -85,7 +86,14 @@ def rollup(
     The nine coarser levels come from one store x department aggregate, which is
     tiny, so the leaf rows are never copied twelve times. The hottest node (the
     root) sees one partial row per task.
+
+    ``leaf_rows`` promises at most one row per (id, ``by``). The leaf level, the
+    largest of all, is then a plain projection and is not shuffled.
     """
+    if leaf_rows and parts is None and LEAF in levels:
+        others = {n: k for n, k in levels.items() if n != LEAF}
+        leaf = df.select(F.lit(LEAF).alias("level"), node_label(levels[LEAF]).alias("node"), *by, *measures)
+        return rollup(df, measures, by, others).unionByName(leaf) if others else leaf
     parts = {"": ()} if parts is None else parts
     fine = {n: k for n, k in levels.items() if "item_id" in k}
     coarse = {n: k for n, k in levels.items() if n not in fine}

@@ -29,10 +29,10 @@ def lag_bucket(h: Column) -> Column:
 def node_errors(errors: DataFrame, levels: dict = LEVELS) -> DataFrame:
     """Signed leaf errors summed up to every node, then sorted by absolute value.
 
-    ``errors`` holds (anchor, keys, d, err) and may be sparse. The array has at most
+    ``errors`` holds one row (anchor, keys, d, err) per leaf and day and may be sparse. The array has at most
     one value per back-test day (84), however large the node is.
     """
-    sums = rollup(errors, ["err"], by=["anchor", "d"], levels=levels)
+    sums = rollup(errors, ["err"], by=["anchor", "d"], levels=levels, leaf_rows=True)
     return sums.groupBy("anchor", "level", "node").agg(F.sort_array(F.collect_list(F.abs("err"))).alias("abs_err"))
 
 

@@ -107,11 +107,11 @@ def node_rmsse(
 ) -> DataFrame:
     """RMSSE of each node from leaf errors.
 
-    Errors are prediction minus actual. Rolling up is linear, so one signed column
-    is rolled up in place of both. Leaf days without a row count as an error of 0.
+    Errors are prediction minus actual, one row per leaf and day. Rolling up is
+    linear, so one signed column is rolled up in place of both. Leaf days without a row count as an error of 0.
     """
     squares = (
-        rollup(errors, [error], by=[*by, "d"], levels=levels)
+        rollup(errors, [error], by=[*by, "d"], levels=levels, leaf_rows=True)
         .groupBy("level", "node", *by)
         .agg((F.sum(F.col(error) * F.col(error)) / days).alias("mse"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,18 +34,24 @@ def add_residual(df: DataFrame) -> DataFrame:
 
 
 def baseline_on(
-    observed: DataFrame, first: int, last: int, shift: int = 28, window: int = 365, id_col: str = "id"
+    observed: DataFrame,
+    first: int,
+    last: int,
+    shift: int = 28,
+    window: int = 365,
+    id_col: str = "id",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Baseline of every series on the days ``first..last`` only, from sparse sales.
 
     Missing days count as zero, so history before ``first`` is never filled in: the
-    asked-for days join the observed rows and one range frame by day number sums
-    what lies in the window.
+    asked-for days are added to the observed rows and one range frame by day number
+    sums what lies in the window. ``keep`` names columns that are constant per id.
     """
     days = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("d")
-    asked = observed.select(id_col).distinct().select(id_col, days, F.lit(0.0).alias("sales"), F.lit(True).alias("_asked"))
+    asked = observed.select(id_col, *keep).distinct().select(id_col, *keep, days, F.lit(0.0).alias("sales"), F.lit(True).alias("_asked"))
     rows = observed.where(F.col("d").between(first - shift - window + 1, last)).select(
-        id_col, F.col("d").cast("int").alias("d"), F.col("sales").cast("double").alias("sales"), F.lit(False).alias("_asked")
+        id_col, *keep, F.col("d").cast("int").alias("d"), F.col("sales").cast("double").alias("sales"), F.lit(False).alias("_asked")
     )
     by_day = Window.partitionBy(id_col).orderBy("d")
     history = by_day.rangeBetween(-(shift + window - 1), -shift)
@@ -57,7 +65,7 @@ def baseline_on(
             }
         )
         .where("_asked")
-        .select(id_col, "d", F.col("actual").alias("sales"), "baseline")
+        .select(id_col, *keep, "d", F.col("actual").alias("sales"), "baseline")
     )
 
 

@@ -83,5 +83,5 @@ def intervals(
     keyed = series.select("id", *KEYS)
     errors = backtest_errors(backtest_predictions).join(keyed, "id")
     half = oi.halfwidths(oi.node_errors(errors), horizon * n_terms, ranks)
-    nodes = rollup(forecast.join(keyed, "id"), ["forecast"], by=["h"])
+    nodes = rollup(forecast.join(keyed, "id"), ["forecast"], by=["h"], leaf_rows=True)
     return oi.interval_layout(forecast_wide(nodes, index=("level", "node")), half, ranks, horizon=horizon)
