@@ -149,9 +149,9 @@ def first_row_per_week(spark, sf):
 
 @query(
     "one_hot_status",
-    """SELECT l_orderkey, sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS n_A,
-       sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS n_N,
-       sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_R FROM lineitem GROUP BY 1""",
+    """SELECT l_orderkey, CAST(sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS n_A,
+       CAST(sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS BIGINT) AS n_N,
+       CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS n_R FROM lineitem GROUP BY 1""",
 )
 def one_hot_status(spark, sf):
     """0/1 columns of a label, counted per order."""

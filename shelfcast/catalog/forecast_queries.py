@@ -250,6 +250,15 @@ def forecast_layout(spark, sf):
     return of.with_suffixes(of.forecast_wide(per_store))
 
 
+@query(
+    "submission_half",
+    f"""WITH {r.SQL_LEAF}, {SQL_FC} SELECT id || '_evaluation' AS id, {SQL_F} FROM fc GROUP BY id""",
+)
+def submission_half(spark, sf):
+    """The rows of one suffix, picked by id and not by position."""
+    return of.only_suffix(of.with_suffixes(of.forecast_wide(weekday_forecast(spark, sf))), "evaluation")
+
+
 @query(
     "rollup_forecast",
     f"""WITH {r.SQL_LEAF}, {SQL_FC} {r.sql_nodes('fc', 'h, round(sum(forecast), 6) AS forecast', 'h', LEVELS)}""",

@@ -11,6 +11,7 @@ from shelfcast.operators import hierarchy as oh
 from shelfcast.operators import metrics as om
 from shelfcast.operators import target as ot
 from shelfcast.schema import LEVELS
+from shelfcast.session import checkpointed
 
 STORE_LEVELS = {"LEVEL1": (), "LEVEL2": ("state_id",), "LEVEL3": ("store_id",)}
 
@@ -141,6 +142,11 @@ def weights(spark, sf):
     return om.node_weights(scale(spark, sf), om.revenue_weight(revenue(spark, sf)))
 
 
+def stored_weights(spark, sf):
+    """Node weights, cut from their plan: they are read more than once, and are small."""
+    return checkpointed(weights(spark, sf))
+
+
 @query("revenue_weight", f"WITH {SQL_WEIGHTS} SELECT level, node, revenue, round(weight, 9) AS weight FROM shares")
 def revenue_weight(spark, sf):
     """Revenue share of every node."""
@@ -153,7 +159,7 @@ def revenue_weight(spark, sf):
 )
 def scaled_weight(spark, sf):
     """Squared weight over scale, relative to the root."""
-    return om.scaled_weight(weights(spark, sf)).select(
+    return om.scaled_weight(stored_weights(spark, sf)).select(
         "level", "node", F.round("scale", 6).alias("scale"), F.round("scaled", 6).alias("scaled")
     )
 
@@ -167,7 +173,7 @@ def scaled_weight(spark, sf):
 )
 def series_training_weight(spark, sf):
     """H6, A10: node weights summed over the ancestors of each series."""
-    out = om.series_training_weight(r.leaf_series(spark, sf), om.scaled_weight(weights(spark, sf)))
+    out = om.series_training_weight(r.leaf_series(spark, sf), om.scaled_weight(stored_weights(spark, sf)))
     return out.select("id", F.round("train_weight", 6).alias("train_weight"))
 
 
@@ -285,10 +291,25 @@ def _residual_sql():
 @query("hierarchical_residual", _residual_sql())
 def hierarchical_residual(spark, sf):
     """Node residuals over six levels, on every leaf day."""
-    out = om.hierarchical_residual(baseline_errors(spark, sf), weights(spark, sf))
+    out = om.hierarchical_residual(baseline_errors(spark, sf), stored_weights(spark, sf))
     return out.select("id", "d", r.rounded("err", 6).alias("err"), r.rounded("residual_gradient", 6).alias("residual_gradient"))
 
 
+@query(
+    "weighted_residual",
+    f"""WITH {SQL_ERRORS}, series AS (SELECT DISTINCT id, state_id, store_id, cat_id, dept_id, item_id FROM leaf),
+    m AS ({membership_sql()}),
+    tw AS (SELECT id, coalesce(sum(scaled), 0) AS w FROM m LEFT JOIN scaled s ON s.level = m.level AND s.node = m.node GROUP BY 1)
+    SELECT e.store_id, e.dept_id, round(sum(w * err), 4) AS gradient FROM errors e JOIN tw USING (id) GROUP BY 1, 2""",
+)
+def weighted_residual(spark, sf):
+    """Series weight times residual, weights joined by id."""
+    train = om.series_training_weight(r.leaf_series(spark, sf), om.scaled_weight(stored_weights(spark, sf)))
+    rows = baseline_errors(spark, sf).join(train, "id")
+    gradient = om.weighted_residual(F.col("baseline"), F.col("sales"), F.col("train_weight"))
+    return rows.groupBy("store_id", "dept_id").agg(F.round(F.sum(gradient), 4).alias("gradient"))
+
+
 @query(
     "daily_change",
     f"""WITH {r.SQL_DENSE}, c AS (SELECT id, store_id, sales - lag(sales) OVER (PARTITION BY id ORDER BY d) AS change FROM dense)

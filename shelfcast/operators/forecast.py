@@ -41,6 +41,11 @@ def with_suffixes(wide: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFr
     )
 
 
+def only_suffix(wide: DataFrame, suffix: str) -> DataFrame:
+    """Rows whose id ends in one suffix (R17): half of a submission, whatever its row order."""
+    return wide.where(F.col("id").endswith(f"_{suffix}"))
+
+
 def blend(forecasts: Sequence[DataFrame], keys: Sequence[str] = ("id", "h"), value: str = "forecast") -> DataFrame:
     """Mean of N forecasts over the rows that all of them have.
 

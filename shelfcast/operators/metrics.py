@@ -171,6 +171,8 @@ def hierarchical_residual(
         one = nodes.where(F.col("level") == name).select(
             F.col("node").alias("_node"), F.col("d").alias("_d"), F.col("_g").alias(col)
         )
+        if not keys:
+            one = F.broadcast(one)  # one row per day
         out = out.join(one, (node_label(keys) == F.col("_node")) & (F.col("d") == F.col("_d")), "left").drop("_node", "_d")
         total = total + F.coalesce(F.col(col), F.lit(0.0))
     return out.select("id", "d", error, total.alias("residual_gradient"))
