@@ -60,45 +60,48 @@ def params_for(store: str, base: TreeParams, overrides: dict[str, dict]) -> Tree
     return replace(base, **overrides.get(store, {}))
 
 
-def fit_indexers(frame: DataFrame, categorical: Sequence[str]) -> PipelineModel:
+def fit_indexers(frame: DataFrame, categorical: Sequence[str], bins: int = 255) -> PipelineModel | None:
     """Label indexes in label order, fitted once on training rows and kept with the model.
 
-    Unseen labels share one extra index. The labels of a key (items of a store,
-    days of a month) are bounded by the key's dimension, not by the fact.
+    Only keys with fewer labels than ``bins`` are indexed, as a tree needs one bin
+    per label; so the driver never holds a long label list. Unseen labels share one
+    extra index.
     """
-    out = [f"{c}__ix" for c in categorical]
-    indexer = StringIndexer(inputCols=list(categorical), outputCols=out, stringOrderType="alphabetAsc", handleInvalid="keep")
-    return Pipeline(stages=[indexer]).fit(frame.select(*[F.col(c).cast("string").alias(c) for c in categorical]))
+    if not categorical:
+        return None
+    sizes = frame.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in categorical]).first()
+    narrow = [c for c in categorical if sizes[c] * 1.1 + 1 < bins]
+    if not narrow:
+        return None
+    indexer = StringIndexer(
+        inputCols=narrow, outputCols=[f"{c}__ix" for c in narrow], stringOrderType="alphabetAsc", handleInvalid="keep"
+    )
+    return Pipeline(stages=[indexer]).fit(frame.select(*[_label(c).alias(c) for c in narrow]))
 
 
-def design(
-    frame: DataFrame,
-    features: Sequence[str],
-    indexers: PipelineModel | None = None,
-    categorical: Sequence[str] = (),
-    bins: int = 255,
-) -> DataFrame:
-    """Feature vector column (R20). Missing numbers become a value far below the data.
-
-    A key with more labels than ``bins`` enters as an ordered number: a tree can
-    split categories only if each label has a bin.
-    """
-    categorical = [c for c in categorical if c in features]
-    if indexers is not None:
-        texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in categorical}
-        originals = [F.col(c).alias(f"{c}__raw") for c in categorical]
-        frame = indexers.transform(frame.select("*", *originals).withColumns(texts))
-        frame = frame.drop(*categorical).withColumnsRenamed({f"{c}__raw": c for c in categorical})
-        stage = indexers.stages[0]
-        sizes = dict(zip(stage.getOutputCols(), map(len, stage.labelsArray)))
-        # Arithmetic drops the category metadata.
-        wide = [c for c, n in sizes.items() if n + 1 > bins and c in frame.columns]
-        frame = frame.withColumns({c: F.col(c) + F.lit(0.0) for c in wide})
-    numbers = [c for c in features if c not in categorical]
-    frame = frame.withColumns({f"{c}__num": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numbers})
-    inputs = [f"{c}__ix" if c in categorical else f"{c}__num" for c in features]
+def _label(column: str):
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _number(frame: DataFrame, column: str):
+    """A feature as a number; a key with too many labels to index is hashed to 31 bits."""
+    if isinstance(frame.schema[column].dataType, T.StringType):
+        return F.pmod(F.xxhash64(column), F.lit(2**31)).cast("double")
+    return F.coalesce(F.col(column).cast("double"), F.lit(MISSING))
+
+
+def design(frame: DataFrame, features: Sequence[str], indexers: PipelineModel | None = None) -> DataFrame:
+    """Feature vector column (R20). Missing numbers become a value far below the data."""
+    indexed = [c for c in indexers.stages[0].getInputCols() if c in features] if indexers is not None else []
+    columns = frame.columns
+    frame = frame.withColumns({f"{c}__num": _number(frame, c) for c in features if c not in indexed})
+    if indexed:
+        originals = [F.col(c).alias(f"{c}__raw") for c in indexed]
+        frame = indexers.transform(frame.select("*", *originals).withColumns({c: _label(c) for c in indexed}))
+        frame = frame.drop(*indexed).withColumnsRenamed({f"{c}__raw": c for c in indexed})
+    inputs = [f"{c}__ix" if c in indexed else f"{c}__num" for c in features]
     vector = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
-    return vector.transform(frame).drop(*inputs)
+    return vector.transform(frame).select(*columns, "features")
 
 
 def fit_trees(
@@ -158,15 +161,22 @@ def model_path(folder: str, task: Task) -> str:
     return os.path.join(folder, f"term={task.term}", f"horizon={task.horizon}", f"store={task.store}")
 
 
-def save_model(model, folder: str, task: Task) -> str:
-    """Persist a fitted model under its task."""
+def save_model(model, indexers: PipelineModel | None, folder: str, task: Task) -> str:
+    """Persist a fitted model together with its label indexes under its task."""
     path = model_path(folder, task)
-    PipelineModel([model]).write().overwrite().save(path)
+    PipelineModel([*(indexers.stages if indexers is not None else []), model]).write().overwrite().save(path)
     return path
 
 
-def load_model(folder: str, task: Task) -> PipelineModel:
-    return PipelineModel.load(model_path(folder, task))
+def load_model(folder: str, task: Task):
+    """The model of a task and its label indexes."""
+    stages = PipelineModel.load(model_path(folder, task)).stages
+    return stages[-1], PipelineModel(stages[:-1]) if len(stages) > 1 else None
+
+
+def score(model, indexers: PipelineModel | None, frame: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Predicted residuals (column ``pred``) of a fitted or loaded model."""
+    return model.transform(design(frame, features, indexers)).drop("features")
 
 
 def run_grid(tasks: Sequence[Task], work, parallel: int = 4) -> list:
@@ -202,13 +212,14 @@ def train_and_score(
     store = frame.where(F.col(store_col) == task.store)
     fit_rows = F.col(train_flag) if validation_flag is None else F.col(train_flag) | F.col(validation_flag)
     labelled = store.where(fit_rows & F.col(label).isNotNull())
-    indexers = fit_indexers(labelled.where(F.col(train_flag)), categorical) if categorical else None
+    used = [c for c in categorical if c in features]
+    indexers = fit_indexers(labelled.where(F.col(train_flag)), used, params.bins)
     extra = [c for c in (weight, validation_flag) if c is not None]
-    train = checkpointed(design(labelled, features, indexers, categorical, params.bins).select("features", label, *extra))
+    train = checkpointed(design(labelled, features, indexers).select("features", label, *extra))
     model = fit_trees(train, params, label, weight, validation_flag)
     if model_folder is not None:
-        save_model(model, model_folder, task)
-    scored = model.transform(design(store.where(F.col(score_flag)), features, indexers, categorical, params.bins))
+        save_model(model, indexers, model_folder, task)
+    scored = score(model, indexers, store.where(F.col(score_flag)), features)
     return model, scored.select(*keep, "pred").withColumns(
         {"term": F.lit(task.term), "horizon": F.lit(task.horizon), "store_id": F.lit(task.store)}
     )

@@ -110,12 +110,25 @@ def test_grid_of_models(spark, fact, tmp_path):
     rows = scored.toPandas()
     assert len(rows) == 2 * 3 * 28 and rows.pred.notna().all()
     assert set(rows.store_id) == {"CA_1", "TX_1"}
-    again = om.load_model(str(tmp_path), tasks[1])
-    assert again.stages[0].getNumTrees == 3
-    imp = om.importances(spark, again.stages[0], features).collect()
+    again, indexers = om.load_model(str(tmp_path), tasks[1])
+    assert again.getNumTrees == 3
+    store_rows = frame.where((F.col("store_id") == "TX_1") & F.col("in_eval"))
+    loaded = om.score(again, indexers, store_rows, features).toPandas().set_index(["id", "d"]).pred
+    first = rows[rows.store_id == "TX_1"].set_index(["id", "d"]).pred
+    assert np.allclose(loaded.sort_index(), first.sort_index())
+    imp = om.importances(spark, again, features).collect()
     assert len(imp) == len(features) and sum(r.importance for r in imp) == pytest.approx(1)
 
 
+def test_wide_and_unseen_labels(spark):
+    train = spark.createDataFrame([(f"i{i}", i % 3, float(i)) for i in range(60)], "item string, wday int, x double")
+    indexers = om.fit_indexers(train, ["item", "wday"], bins=32)
+    assert indexers.stages[0].getInputCols() == ["wday"]
+    out = om.design(train.limit(1).withColumn("wday", F.lit(9)), ["item", "wday", "x"], indexers).first()
+    assert out.features[1] == 3.0 and out.item.startswith("i") and out.wday == 9
+    assert om.fit_indexers(train, ["item"], bins=32) is None
+
+
 def test_parameters():
     assert om.FINAL.depth == 11 and om.params_for("CA_2", om.FINAL, om.FINAL_OVERRIDES).depth == 8
     assert om.params_for("CA_3", om.FINAL, om.FINAL_OVERRIDES).step == 0.03
