@@ -71,3 +71,10 @@ def test_rolldown(spark):
     got = {r.id: r.w for r in h.rolldown(spark.createDataFrame(series), nodes, "w").collect()}
     for _, r in series.iterrows():
         assert got[r["id"]] == pytest.approx(sum(values[lv, label(k, r)] for lv, k in LEVELS.items()))
+
+
+def test_unique_leaf_rows_give_the_same_rollup(spark):
+    rows = spark.createDataFrame(long_sales(3))
+    usual = h.rollup(rows, ["sales"], by=["d"])
+    short = h.rollup(rows, ["sales"], by=["d"], leaf_rows=True)
+    assert sorted(map(tuple, usual.collect())) == sorted(map(tuple, short.select(usual.columns).collect()))
