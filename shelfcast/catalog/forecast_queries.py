@@ -107,7 +107,7 @@ def naive_errors(spark, sf):
     """
     hi = r.last_day(spark, sf)
     lo = hi - N_DAYS + 1
-    leaf = r.leaf_sales(spark, sf).where(F.col("d") > lo - WINDOW - max(ANCHORS))
+    leaf = r.leaf_sales(spark, sf, first=lo - WINDOW - max(ANCHORS) + 1)
     # Each row becomes up to 140, so the number of partitions is set before and not by the input's size.
     leaf = leaf.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
     keys = ["id", "state_id", "store_id", "cat_id", "dept_id", "item_id"]
@@ -216,7 +216,7 @@ def weekday_forecast(spark, sf):
     """Mean of the last eight known same weekdays, for h = 1..28. Sparse: zero forecasts have no row."""
     hi = r.last_day(spark, sf)
     keys = ["id", "state_id", "store_id", "cat_id", "dept_id", "item_id"]
-    leaf = r.leaf_sales(spark, sf).where(F.col("d") > hi - 7 * WEEKS)
+    leaf = r.leaf_sales(spark, sf, first=hi - 7 * WEEKS + 1)
     back = F.lit(hi) + F.col("h") - F.col("d")
     first = oi.lag_bucket(F.col("h"))
     rows = leaf.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(HORIZON)))).where(
@@ -286,7 +286,7 @@ def retrend(spark, sf):
 def drift_forecast(spark, sf):
     """A second forecast to blend: the overall daily mean of the last 56 days."""
     hi = r.last_day(spark, sf)
-    leaf = r.leaf_sales(spark, sf).where(F.col("d") > hi - 56)
+    leaf = r.leaf_sales(spark, sf, first=hi - 55)
     mean = leaf.groupBy("id").agg((F.sum("sales") / 56).alias("forecast"))
     return mean.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(HORIZON))))
 

@@ -134,7 +134,7 @@ def rmsse_scale(spark, sf):
 def revenue(spark, sf):
     """Leaf revenue in cents of the last 27 days: the window excludes its first day."""
     hi = r.last_day(spark, sf)
-    recent = om.revenue_in_window(r.leaf_sales(spark, sf), hi - 27, hi)
+    recent = om.revenue_in_window(r.leaf_sales(spark, sf, first=hi - 26), hi - 27, hi)
     return recent.withColumnRenamed("cents", "revenue").withColumn("part", F.col("store_id"))
 
 
