@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,19 +24,26 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
 
 
+_TEST_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost together with its executor.
+    Where that setting is missing, as in tests, a local session gets one temporary folder; any
+    other session must name it, as a machine-local path would be lost together with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="shelfcast-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _TEST_FOLDERS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="shelfcast-"))
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for an intermediate table."""
+    return f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
