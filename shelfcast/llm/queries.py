@@ -1,4 +1,4 @@
 """All queries of the subpackage; importing this module registers them."""
 
-from shelfcast.llm import q_quality_rules  # noqa: F401
+from shelfcast.llm import q_packing, q_quality_rules  # noqa: F401
 from shelfcast.llm.registry import QUERIES, SQL  # noqa: F401
