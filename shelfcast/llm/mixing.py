@@ -27,6 +27,7 @@ from shelfcast.operators.reshape import with_serial
 from shelfcast.session import table_path
 
 FAN_IN = 256
+LARGE = 100
 MOST = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 _EPS = 1e-9
@@ -48,7 +49,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("units"))
     per = per.withColumn("__null", F.col("source").isNull().cast("int"))
-    ranked = with_serial(per, ["__null", "source"], "rank", buckets=8).drop("__null")
+    ranked = with_serial(per, ["__null", "source"], "rank", buckets=4).drop("__null")
     dealt = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     ranked = written(ranked.withColumn("weight", dealt), "sources")
     cap = F.col("source_size") * F.lit(float(most))
@@ -115,37 +116,58 @@ def _fold(units: Column, seed: int) -> Column:
 
 
 def round_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> DataFrame:
-    """source, doc_id, size, source_size, target, copies: one row for each row of ``sizes``."""
+    """source, doc_id, size, source_size, target, copies: one row for each row of ``sizes``.
+
+    Documents of over 1/``LARGE`` of their source, of which there are fewer than ``LARGE``, meet first.
+    What their rounding misses is handed to the fractions of the others, so that only a short
+    document's residual is left at the end.
+    """
+    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    base = F.floor(wanted + _EPS)
+    targets = targets.withColumns({"base": base, "p": F.greatest(wanted - base, F.lit(0.0))})
+    keys = ["source", "source_size", "target", "base"]
     units = sizes.groupBy("source", "doc_id", "size").agg(F.count("*").alias("n"))
     same = F.col("s.source").eqNullSafe(F.col("t.source"))
-    units = units.alias("s").join(targets.alias("t"), same).select("s.*", "t.source_size", "t.target", "t.units")
-    wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    units = units.withColumn("base", F.floor(wanted + _EPS)).withColumn("p", F.greatest(wanted - F.col("base"), F.lit(0.0)))
-    blocks = F.ceil(F.col("units") / fan_in)
-    units = units.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), blocks))
-    unit = F.struct(F.col("doc_id").cast("long").alias("id"), (F.col("size") * F.col("n")).cast("double").alias("words"), "n", "p")
-    keys = ["source", "source_size", "target"]
+    units = units.alias("s").join(targets.alias("t"), same).select("t.*", "s.doc_id", "s.size", "s.n")
+    units = written(units.withColumn("words", (F.col("size") * F.col("n")).cast("double")), "units")
+    unit = lambda p: F.struct(F.col("doc_id").cast("long").alias("id"), "words", "n", p.alias("p"))
+    is_large = F.col("words") * LARGE > F.col("source_size")
+    rounded = lambda r: F.struct(*[r[c].alias(c) for c in ("id", "words", "n")], F.round(r["p"]).alias("p"))
+
+    large = units.filter((F.col("size") > 0) & is_large).groupBy(*keys, "p").agg(F.collect_list(unit(F.col("p"))).alias("units"))
+    large = large.withColumn("f", _fold(F.col("units"), seed)).withColumn(
+        "done", F.when(F.col("f.rest").isNull(), F.col("f.done")).otherwise(F.concat("f.done", F.array(rounded(F.col("f.rest")))))
+    )
+    excess = F.aggregate("done", F.lit(0.0), lambda s, x: s + x["words"] * x["p"])
+    held = F.aggregate("done", F.lit(0.0), lambda s, x: s + x["words"])
+    others = F.col("source_size") - held
+    shift = F.when(others > 0, (excess - held * F.col("p")) / others).otherwise(F.lit(0.0))
+    large = written(large.select(*keys, "done", shift.alias("shift")), "large")
+
+    small = units.filter((F.col("size") > 0) & ~is_large)
+    small = small.alias("s").join(large.select("source", "shift").alias("t"), same, "left").select("s.*", F.coalesce("t.shift", F.lit(0.0)).alias("shift"))
+    p = F.least(F.greatest(F.col("p") - F.col("shift"), F.lit(0.0)), F.lit(1.0))
+    block = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.ceil(F.col("units") / fan_in))
     most = targets.agg(F.max("units")).first()[0] or 0
-    levels, open_units = [], units.filter("size > 0").select(*keys, "block", unit.alias("unit"))
+    levels, open_units = [large.select(*keys, F.explode("done").alias("unit"))], small.select(*keys, block.alias("block"), unit(p).alias("unit"))
     level, width = 0, -(-most // fan_in)
     while True:
         folded = open_units.groupBy(*keys, "block").agg(F.collect_list("unit").alias("units"))
-        folded = written(folded.select(*keys, "block", _fold(F.col("units"), seed + level).alias("f")), f"folded-{level}")
+        folded = written(folded.select(*keys, "block", _fold(F.col("units"), seed + 1 + level).alias("f")), f"folded-{level}")
         levels.append(folded.select(*keys, F.explode("f.done").alias("unit")))
         rest = folded.filter("f.rest IS NOT NULL")
         if width <= 1:
             break
         open_units = rest.select(*keys, F.floor(F.col("block") / fan_in).cast("long").alias("block"), F.col("f.rest").alias("unit"))
         level, width = level + 1, -(-width // fan_in)
-    last = F.struct(*[F.col("f.rest")[c].alias(c) for c in ("id", "words", "n")], F.round(F.col("f.rest.p")).alias("p"))
-    levels.append(rest.select(*keys, last.alias("unit")))
+    levels.append(rest.select(*keys, rounded(F.col("f.rest")).alias("unit")))
     decided = reduce(DataFrame.unionByName, levels).select(
-        *keys, F.col("unit.id").alias("doc_id"), F.round(F.col("unit.words") / F.col("unit.n")).cast("long").alias("size"), F.col("unit.n").alias("n"),
-        (F.floor(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) + _EPS) + F.col("unit.p")).cast("long").alias("copies"),
+        *keys, F.col("unit.id").alias("doc_id"), F.round(F.col("unit.words") / F.col("unit.n")).cast("long").alias("size"),
+        F.col("unit.n").alias("n"), (F.col("base") + F.col("unit.p")).cast("long").alias("copies"),
     )
     empty = units.filter("size = 0").select(*keys, "doc_id", "size", "n", F.col("base").cast("long").alias("copies"))
     every = decided.unionByName(empty)
-    return every.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("__i", "n")
+    return every.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("__i", "n", "base")
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:
