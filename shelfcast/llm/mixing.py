@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.expressions import let, text_of, words
+from shelfcast.llm.tables import written
 from shelfcast.operators.reshape import with_serial
-from shelfcast.session import table_path
 
 FAN_IN = 256
 LARGE = 100
@@ -33,13 +33,6 @@ WEIGHTS = (1.0, 2.0, 3.0)
 _EPS = 1e-9
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder, so that later steps do not run earlier ones again."""
-    path = table_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """source, source_size, units, target: the shares of all words, none above ``most`` times its source.
 

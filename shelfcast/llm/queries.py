@@ -1,4 +1,4 @@
 """All queries of the subpackage; importing this module registers them."""
 
-from shelfcast.llm import q_mixing, q_packing, q_quality_rules, q_weighted_sampling  # noqa: F401
+from shelfcast.llm import q_jaccard_join, q_mixing, q_packing, q_quality_rules, q_weighted_sampling  # noqa: F401
 from shelfcast.llm.registry import QUERIES, SQL  # noqa: F401

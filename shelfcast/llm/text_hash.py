@@ -110,9 +110,7 @@ def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
             if b - a >= k:
                 yield np.unique(whole[a : b - k + 1])
             elif b > a:
-                part = np.zeros(1, np.uint64)
-                for i in range(b - a):
-                    part += hashes[a + i] * _PLACE[i]
-                yield mix(part + _U(b - a))
+                part = hashes[a:b] * np.array(_PLACE[: b - a])
+                yield mix(part.sum(dtype=np.uint64, keepdims=True) + _U(b - a))
             else:
                 yield np.zeros(0, np.uint64)
