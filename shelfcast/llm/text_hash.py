@@ -75,9 +75,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs of other bytes than ASCII white space), words before each row."""
-    inside = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of bytes not ``outside``, ASCII white space), words before each row."""
+    inside = ~outside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.r_[False, inside[:-1]] if len(data) else inside
@@ -93,6 +93,33 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.
     return span_hashes(_FOLD[data] if fold else data, starts, ends), upto
 
 
+_OTHER = np.ones(256, dtype=bool)
+_OTHER[97:123] = _OTHER[65:91] = _OTHER[128:] = False
+
+
+def letter_features(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every run of letters and of its first bytes, A-Z lower-cased; (hashes [word, kind], words before each row).
+
+    Bytes above 127 count as letters, so words of any UTF-8 script stay whole. The prefix of a word that
+    is not longer is the word itself under another name.
+    """
+    starts, ends, upto = word_spans(data, offsets, _OTHER)
+    folded = _FOLD[data]
+    kinds = [span_hashes(folded, starts, ends)]
+    for i, n in enumerate(prefixes, 1):
+        kinds.append(mix(span_hashes(folded, starts, np.minimum(ends, starts + n)) + _U(i)))
+    return np.stack(kinds, axis=1), upto
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the \\n-split lines of every row, and the lines before each row; an empty text is one line."""
+    breaks = np.flatnonzero(data == 10)
+    starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    ends = np.sort(np.concatenate([breaks, offsets[1:]]), kind="stable")
+    upto = np.searchsorted(breaks, offsets) + np.arange(len(offsets))
+    return starts, ends, upto
+
+
 def shingle_sets(column: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of every row.
 

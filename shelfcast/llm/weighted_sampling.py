@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm.expressions import text_of, words
 
 SAMPLES = 64
+RUN = 16
 DIGITS = 4
 _LOW = -(1 << 63)
 
@@ -34,12 +35,12 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (part.cast("double") + 0.5) * (1.0 / (1 << width))
 
 
-def sample_rank(term: Column, log_weight: Column, k: int) -> Column:
+def sample_rank(term: Column, log_weight: Column, k: Column) -> Column:
     """ln a of the word in the upper bits of a long, 16 bits that name (word, t) in the lower ones.
 
     The least rank of a text is its sample.
     """
-    bits, more = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
+    bits, more = F.xxhash64(term, k), F.xxhash64(k, term)
     r = -F.log(_uniform(bits, 0, 32) * _uniform(bits, 32, 32))
     log_c = F.log(-F.log(_uniform(more, 0, 24) * _uniform(more, 24, 24)))
     beta = _uniform(F.xxhash64(bits), 0, 32)
@@ -65,11 +66,28 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
     return reduce(Column.__add__, same).cast("double") / float(samples)
 
 
-def fingerprints(weights: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """keys and fingerprint from rows (keys, term long, weight), one for each distinct term."""
-    ranked = [F.min(sample_rank(F.col("term"), F.log(F.col("weight").cast("double")), k)).alias(f"__s{k}") for k in range(samples)]
-    out = weights.groupBy(*keys).agg(*ranked)
-    return out.select(*keys, signature([F.col(f"__s{k}") for k in range(samples)]).alias("fingerprint"))
+def fingerprints(weights: DataFrame, part: str, key: str, carry: str, samples: int = SAMPLES) -> DataFrame:
+    """(part, key, fingerprint, carry) from rows (part, key int, term long, weight, carry).
+
+    A text has one row for each distinct term, with a null ``carry``, and may have one row whose
+    ``carry`` is returned with the fingerprint. ``part`` must hold a bounded number of texts: a rank depends
+    on the word and its weight alone, so it is worked out once for all texts of a part. The samples are dealt out
+    in runs of ``RUN``, which keeps the generated code small enough to be compiled.
+    """
+    runs = -(-samples // RUN)
+    shared = weights.groupBy(part, "term", "weight", carry).agg(F.collect_list(key).alias("texts"))
+    shared = shared.withColumn("log_weight", F.log(F.col("weight").cast("double")))
+    shared = shared.withColumn("run", F.explode(F.sequence(F.lit(0), F.when(F.col(carry).isNull(), runs - 1).otherwise(0))))
+    names = [f"s{i}" for i in range(RUN)]
+    ranks = [sample_rank(F.col("term"), F.col("log_weight"), F.col("run") * RUN + i).alias(n) for i, n in enumerate(names)]
+    # A lambda keeps this projection out of the whole-stage method, which would be too long for the compiler.
+    texts = F.filter("texts", lambda x: x.isNotNull()).alias("texts")
+    least = shared.select(part, carry, "run", texts, *ranks).select(part, carry, "run", F.explode("texts").alias(key), *names)
+    least = least.groupBy(part, key, "run", carry).agg(*[F.min(n).alias(n) for n in names])
+    digits = F.when(F.col(carry).isNull(), signature([F.col(n) for n in names]))
+    least = least.select(part, key, "run", carry, digits.alias("digits"))
+    whole = [F.max(F.when(F.col("run") == i, F.col("digits"))) for i in range(runs)]
+    return least.groupBy(part, key).agg(F.substring(F.concat(*whole), 1, DIGITS * samples).alias("fingerprint"), F.max(carry).alias(carry))
 
 
 def _buckets(docs: DataFrame, count: int) -> tuple[Column, list[tuple[int, int]]]:
@@ -113,20 +131,25 @@ def neighbour_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame
     rows = rows.withColumns({"next": F.lead("text").over(order), "row": F.row_number().over(order)})
     n, m = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - m), F.substring(F.coalesce(F.col("next"), F.lit("")), F.lit(1), m))
+    rows = rows.withColumn("edited", edited)
+    # A text and its edited text are the numbers 2 row and 2 row + 1 of the bucket. The digest and the id
+    # travel as a third version without words, so that the texts are sorted once.
     meta = F.struct("guest", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    none = F.array().cast("array<string>")
+    kind = "struct<guest:int,doc_id:bigint,n_chars:bigint,edited_sha256:string>"
     versions = F.array(
-        F.struct(F.lit(0).alias("v"), words(F.col("text")).alias("w"), F.lit(None).alias("meta")),
-        F.struct(F.lit(1).alias("v"), words(F.col("edited")).alias("w"), F.lit(None).alias("meta")),
-        F.struct(F.lit(2).alias("v"), none.alias("w"), meta.alias("meta")),
+        F.struct((2 * F.col("row")).alias("key"), words(F.col("text")).alias("w"), F.lit(None).cast(kind).alias("meta")),
+        F.struct((2 * F.col("row") + 1).alias("key"), words(F.col("edited")).alias("w"), F.lit(None).cast(kind).alias("meta")),
+        F.struct((2 * F.col("row")).alias("key"), F.array().cast("array<string>").alias("w"), meta.alias("meta")),
     )
-    terms = rows.withColumn("edited", edited).select("b", "row", F.explode(versions).alias("x"))
-    terms = terms.select("b", "row", "x.v", "x.meta", F.explode_outer("x.w").alias("word"))
-    terms = terms.select("b", "row", "v", "meta", F.when(F.col("word").isNotNull(), F.xxhash64("word")).otherwise(F.lit(0)).alias("term"))
-    weights = terms.groupBy("b", "row", "v", "meta", "term").agg(F.count("*").alias("weight"))
-    prints = fingerprints(weights, ["b", "row", "v", "meta"], samples)
-    pick = lambda v: F.max(F.when(F.col("v") == v, F.col("fingerprint")))
-    out = prints.groupBy("b", "row").agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"), F.max("meta").alias("meta"))
+    # The fields are taken apart before the words are exploded, or each word's row would hold all words.
+    terms = rows.select("b", F.explode(versions).alias("x")).select("b", "x.key", "x.meta", "x.w")
+    terms = terms.select("b", "key", "meta", F.explode_outer("w").alias("word"))
+    term = F.when(F.col("word").isNotNull(), F.xxhash64("word")).otherwise(F.lit(0))
+    weights = terms.select("b", "key", "meta", term.alias("term")).groupBy("b", "key", "meta", "term").agg(F.count("*").alias("weight"))
+    prints = fingerprints(weights, "b", "key", "meta", samples)
+    pick = lambda v: F.max(F.when(F.col("key") % 2 == v, F.col("fingerprint")))
+    out = prints.groupBy("b", F.floor(F.col("key") / 2).alias("row"))
+    out = out.agg(pick(0).alias("fingerprint"), pick(1).alias("edited_fingerprint"), F.max("meta").alias("meta"))
     following = F.lead("fingerprint").over(Window.partitionBy("b").orderBy("row"))
     out = out.withColumn("next", following).filter("meta.guest = 0")
     return out.select(
