@@ -17,11 +17,11 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,35 +33,89 @@ GROUP_SIZE = 20_000
 #: Bins with more free room than this share of the capacity are packed again on the next level.
 OPEN_SHARE = 0.01
 #: Distinct words a worker remembers; the memory is started anew beyond.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 600_000
 CACHE_CHARS = 40
-TEXT_SLICE = 1 << 20
+TEXT_SLICE = 1 << 22
 
 
 class WordEncoder:
     """Ids of whole texts, little-endian, from the ids of their words.
 
     The tokenizer never joins characters across a blank or a line end, so a text's ids are those
-    of its words in order, and each word is encoded once. ASCII is lower-cased before, as the
-    tokenizer does itself, so that words at the start of a sentence are known.
+    of its words in order, and each word is encoded once. It also parts letters from punctuation, so
+    a word and its final mark are looked up on their own. Texts of Latin-1 characters, each of which has
+    one lower-case form, are lower-cased before, as the tokenizer does itself.
     """
 
+    MARKS = ".,;:!?|#$%&*"
+
     def __init__(self, path: str, lower: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.lower, self.known = lower, {"": b""}
+        self.lower, self.known, self.cores = lower, {"": b""}, {"": b""}
+        ends = [i for w, i in self.tokenizer.get_vocab(True).items() if w.endswith("</w>")]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(True), bool)
+        self.ends_word[ends] = True
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, cores: list[str]) -> None:
+        """Ids of words: those of letters alone in one call, parted after the tokens that end a word."""
+        letters = [c for c in cores if c.isalpha()]
+        ids = self._encode(" ".join(letters)) if letters else np.zeros(0, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(letters):
+            data, stops = ids.tobytes(), (4 * ends).tolist()
+            self.cores.update((c, data[i:j]) for c, i, j in zip(letters, [0, *stops], stops))
+            cores = [c for c in cores if not c.isalpha()]
+        for c in cores:
+            self.cores[c] = self._encode(c).tobytes()
+
+    def _folded(self, text: str) -> str:
+        if self.lower:
+            try:
+                text.encode("latin-1")
+                return text.lower()
+            except UnicodeEncodeError:
+                pass
+        return text
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.cores = {"": b""}, {"": b""}
+        split = []
+        for w in words:
+            if w not in self.known:
+                core = w.rstrip(self.MARKS)
+                split.append((w, core, w[len(core) :]) if core and core.isalpha() else (w, w, ""))
+        self._learn(list({x for _, core, mark in split for x in (core, mark)} - self.cores.keys()))
+        for w, core, mark in split:
+            self.known[w] = self.cores[core] + self.cores[mark]
+        found = list(map(self.known.__getitem__, words))
+        for w, core, mark in split:
+            if len(w) > CACHE_CHARS:
+                for memory, x in ((self.known, w), (self.cores, core), (self.cores, mark)):
+                    memory.pop(x, None) if x else None
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [(t.lower() if self.lower and t.isascii() else t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {"": b""}
-        new = list(set(chain.from_iterable(parts)) - self.known.keys())
-        ids = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        look = self.known | ids if any(len(w) > CACHE_CHARS for w in new) else self.known
-        self.known.update((w, b) for w, b in ids.items() if len(w) <= CACHE_CHARS)
-        return [b"".join(map(look.__getitem__, p)) for p in parts]
+        """Arrow parts the texts and numbers their distinct words; numpy puts the ids in the words' order."""
+        column = pc.replace_substring(pa.array([self._folded(t) for t in texts], pa.large_string()), "\n", " ")
+        parts = pc.split_pattern(column, " ")
+        words = parts.values.dictionary_encode()
+        found = self._ids(words.dictionary.to_pylist())
+        index = words.indices.to_numpy()
+        ids = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = (np.cumsum(size) - size)[index]
+        size = size[index]
+        end = np.concatenate([[0], np.cumsum(size)])
+        ids = ids[np.repeat(first - end[:-1], size) + np.arange(end[-1])]
+        at = end[parts.offsets.to_numpy()]
+        return [ids[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
