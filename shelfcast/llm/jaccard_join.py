@@ -302,3 +302,19 @@ def similar_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
     answer = linked.join(least, "root").select("n", "k1", "k2", "component_id")
     out = keys.join(answer, ["n", "k1", "k2"], "left")
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def one_per_component(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with the least id of their component; of repeated rows one.
+
+    Rows with a null id join no component by name and stay. Only ids go into the join with the texts, and
+    texts are compared only if an id occurs twice among those that stay.
+    """
+    found = written(similar_components(docs, id, text, k, percent), "components").filter(F.col(id).isNotNull())
+    stay = found.filter(F.col(id) == F.col("component_id")).groupBy(id).agg(F.count("*").alias("__rows"))
+    stay = written(stay, "kept")
+    twice = stay.filter("__rows > 1").limit(1).count()
+    kept = docs.join(stay.select(id), id, "left_semi")
+    if twice:
+        kept = kept.dropDuplicates([id])
+    return kept.unionByName(docs.filter(F.col(id).isNull())).select(*docs.columns)
