@@ -1,12 +1,60 @@
-"""From raw documents to packed training sequences, one written table per stage."""
+"""From raw documents to packed training sequences, one written table per stage.
+
+Every stage works on all that its predecessor kept and returns the columns of ``documents``; the last one
+returns the pieces of the packed sequences. The operators' docstrings state what becomes of nulls, empty
+texts and repeated rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfcast.llm.jaccard_join import one_per_component
+from shelfcast.llm.line_dedup import drop_repeated_lines
+from shelfcast.llm.mixing import mixed_documents
+from shelfcast.llm.packing import pack_documents
+from shelfcast.llm.q_packing import tokenizer_path
+from shelfcast.llm.q_rule_ensemble import THRESHOLD
+from shelfcast.llm.rule_ensemble import learn_quality, score_quality
 from shelfcast.session import table_path
 
-STAGES = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble does not reject; it learns from all labels of ``docs``."""
+    model = learn_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    return score_quality(docs, model, into="__score").filter(F.col("__score") >= THRESHOLD).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated line runs; n_chars follows the text."""
+    out = drop_repeated_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near-duplicates."""
+    return one_per_component(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their place in the packed sequences."""
+    rows = pack_documents(docs.select("doc_id", "text"), tokenizer_path())
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 # A fitted classifier and seeded rounding have no SQL form; the tests compare each stage with brute force.
 ORACLE_SQL = None
