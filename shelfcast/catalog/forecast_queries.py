@@ -230,13 +230,23 @@ SQL_FC = """fc AS (
   FROM leaf, (SELECT max(d) AS hi FROM leaf), (SELECT unnest(range(1, 29)) AS h)
   WHERE d > hi - 56 AND (hi + h - d) % 7 = 0 AND hi + h - d BETWEEN ceil(h / 7) * 7 AND ceil(h / 7) * 7 + 49 GROUP BY ALL)"""
 
+# Every series and day: a forecast without a row is zero.
+SQL_GRID = """grid AS (SELECT id, CAST(unnest(range(1, 29)) AS INTEGER) AS h FROM (SELECT DISTINCT id FROM leaf)),
+dense_fc AS (SELECT id, h, coalesce(forecast, 0) AS forecast FROM grid LEFT JOIN fc USING (id, h))"""
+
+
+def dense_forecast(spark, sf):
+    """The weekday forecast on every series and day."""
+    return of.on_grid(weekday_forecast(spark, sf), of.forecast_grid(r.leaf_series(spark, sf)))
+
+
 SQL_F = ", ".join(f"sum(CASE WHEN h = {h} THEN forecast END) AS F{h}" for h in range(1, 29))
 
 
-@query("forecast_pivot", f"WITH {r.SQL_LEAF}, {SQL_FC} SELECT id, {SQL_F} FROM fc GROUP BY id")
+@query("forecast_pivot", f"WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_GRID} SELECT id, {SQL_F} FROM dense_fc GROUP BY id")
 def forecast_pivot(spark, sf):
     """Rows to F1..F28."""
-    return of.forecast_wide(weekday_forecast(spark, sf))
+    return of.forecast_wide(dense_forecast(spark, sf))
 
 
 @query(
@@ -252,11 +262,11 @@ def forecast_layout(spark, sf):
 
 @query(
     "submission_half",
-    f"""WITH {r.SQL_LEAF}, {SQL_FC} SELECT id || '_evaluation' AS id, {SQL_F} FROM fc GROUP BY id""",
+    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_GRID} SELECT id || '_evaluation' AS id, {SQL_F} FROM dense_fc GROUP BY id""",
 )
 def submission_half(spark, sf):
     """The rows of one suffix, picked by id and not by position."""
-    return of.only_suffix(of.with_suffixes(of.forecast_wide(weekday_forecast(spark, sf))), "evaluation")
+    return of.only_suffix(of.with_suffixes(of.forecast_wide(dense_forecast(spark, sf))), "evaluation")
 
 
 @query(
@@ -297,12 +307,13 @@ SQL_DRIFT = """drift AS (SELECT id, CAST(unnest(range(1, 29)) AS INTEGER) AS h,
 
 @query(
     "blend_mean",
-    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_DRIFT}
-    SELECT id, h, round((a.forecast + b.forecast) / 2, 6) AS forecast FROM fc a JOIN drift b USING (id, h)""",
+    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_DRIFT}, {SQL_GRID}
+    SELECT id, h, round((coalesce(a.forecast, 0) + coalesce(b.forecast, 0)) / 2, 6) AS forecast
+    FROM grid LEFT JOIN fc a USING (id, h) LEFT JOIN drift b USING (id, h)""",
 )
 def blend_mean(spark, sf):
-    """Mean of two forecasts where both have a row."""
-    out = of.blend([weekday_forecast(spark, sf), drift_forecast(spark, sf)])
+    """Mean of two sparse forecasts on every series and day."""
+    out = of.blend([weekday_forecast(spark, sf), drift_forecast(spark, sf)], of.forecast_grid(r.leaf_series(spark, sf)))
     return out.withColumn("forecast", F.round("forecast", 6))
 
 
@@ -343,14 +354,16 @@ def interval_quantiles(spark, sf):
 
 
 def dense_node_forecast(spark, sf):
-    """Wide point forecasts; a horizon without a row is a forecast of zero."""
-    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
-    return of.forecast_wide(nodes, index=("level", "node")).na.fill(0.0)
+    """Wide point forecasts of every node of the series; a horizon without a row is a forecast of zero."""
+    forecast = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
+    nodes = oh.rollup(r.leaf_series(spark, sf).withColumn("n", F.lit(1)), ["n"], leaf_rows=True).select("level", "node")
+    return nodes.join(of.forecast_wide(forecast, index=("level", "node")), ["level", "node"], "left").na.fill(0.0)
 
 
 @query(
     "interval_layout",
-    f"""WITH {SQL_INTERVAL}, grid AS (SELECT level, node, h FROM (SELECT DISTINCT level, node FROM node_fc), (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h)),
+    f"""WITH {SQL_INTERVAL}, nodes AS ({r.sql_nodes('leaf', 'count(*) AS n', '', LEVELS)}),
+    grid AS (SELECT level, node, h FROM nodes, (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h)),
     full_q AS (
       SELECT g.level, g.node, g.h, coalesce(f.forecast, 0) AS p, coalesce(x.hw_005, 0) AS a, coalesce(x.hw_025, 0) AS b,
              coalesce(x.hw_165, 0) AS c, coalesce(x.hw_250, 0) AS e
@@ -386,9 +399,10 @@ def feature_store_columns(spark, sf):
 
 @query(
     "forecast_files_blend",
-    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_DRIFT},
+    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_DRIFT}, s AS (SELECT DISTINCT id FROM leaf),
     a AS (SELECT id, {SQL_F} FROM fc GROUP BY id), b AS (SELECT id, {SQL_F} FROM drift GROUP BY id)
-    SELECT a.id, {', '.join(f'round((a.F{h} + b.F{h}) / 2, 6) AS F{h}' for h in range(1, 29))} FROM a JOIN b ON a.id = b.id""",
+    SELECT s.id, {', '.join(f'round((coalesce(a.F{h}, 0) + coalesce(b.F{h}, 0)) / 2, 6) AS F{h}' for h in range(1, 29))}
+    FROM s LEFT JOIN a ON a.id = s.id LEFT JOIN b ON b.id = s.id""",
 )
 def forecast_files_blend(spark, sf):
     """Write two forecast files, scan them with their names, blend column by column."""
@@ -396,5 +410,5 @@ def forecast_files_blend(spark, sf):
     paths = [os.path.join(folder, n) for n in ("weekday", "drift")]
     for path, rows in zip(paths, (weekday_forecast(spark, sf), drift_forecast(spark, sf))):
         store.write_forecast(of.forecast_wide(rows), path)
-    out = of.blend_wide([scan.read_forecasts(spark, [p]) for p in paths])
+    out = of.blend_wide([scan.read_forecasts(spark, [p]) for p in paths], r.leaf_series(spark, sf))
     return out.select("id", *[F.round(c, 6).alias(c) for c in of.horizon_columns()])

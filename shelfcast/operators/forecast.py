@@ -46,34 +46,50 @@ def only_suffix(wide: DataFrame, suffix: str) -> DataFrame:
     return wide.where(F.col("id").endswith(f"_{suffix}"))
 
 
-def blend(forecasts: Sequence[DataFrame], keys: Sequence[str] = ("id", "h"), value: str = "forecast") -> DataFrame:
-    """Mean of N forecasts over the rows that all of them have.
+def forecast_grid(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """(id, h) for every series and day of the horizon: a forecast without a row there is zero."""
+    return series.select("id", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
 
-    Rows meet by key and not by position. The union is reduced before the shuffle,
-    so N files cost one aggregate and no joins.
+
+def on_grid(forecast: DataFrame, grid: DataFrame, keys: Sequence[str] = ("id", "h"), value: str = "forecast") -> DataFrame:
+    """The sparse forecast on every key of the grid, zero where it has no row."""
+    return grid.join(forecast.select(*keys, value), list(keys), "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+
+
+def blend(forecasts: Sequence[DataFrame], grid: DataFrame | None = None, keys: Sequence[str] = ("id", "h"), value: str = "forecast") -> DataFrame:
+    """Mean of N forecasts.
+
+    Sparse forecasts need the ``grid`` of keys, on which an absent row is a forecast of zero.
+    Without a grid the forecasts must be dense, and only keys that all of them have come out. Rows
+    meet by key and not by position. The union is reduced before the shuffle, so N files cost one aggregate.
     """
     n = len(forecasts)
     stacked = forecasts[0].select(*keys, value)
     for f in forecasts[1:]:
         stacked = stacked.unionByName(f.select(*keys, value))
-    return (
-        stacked.groupBy(*keys)
-        .agg(F.sum(value).alias("_sum"), F.count("*").alias("_n"))
-        .where(F.col("_n") == n)
-        .select(*keys, (F.col("_sum") / n).alias(value))
-    )
+    sums = stacked.groupBy(*keys).agg(F.sum(value).alias("_sum"), F.count("*").alias("_n"))
+    if grid is None:
+        sums = sums.where(F.col("_n") == n)
+    means = sums.select(*keys, (F.col("_sum") / n).alias(value))
+    return means if grid is None else on_grid(means, grid, keys, value)
+
 
+def blend_wide(forecasts: Sequence[DataFrame], series: DataFrame | None = None, horizon: int = HORIZON) -> DataFrame:
+    """Mean of N wide forecast tables, column by column.
 
-def blend_wide(forecasts: Sequence[DataFrame], horizon: int = HORIZON) -> DataFrame:
-    """Mean of N wide forecast tables, column by column."""
+    With ``series`` every id of it has a row, and absent rows and empty cells are zero. Without, a cell that is
+    empty in any of the tables stays empty.
+    """
     n = len(forecasts)
     cols = horizon_columns(horizon)
     stacked = forecasts[0].select("id", *cols)
     for f in forecasts[1:]:
         stacked = stacked.unionByName(f.select("id", *cols))
-    # A cell that is empty in any of the tables stays empty.
-    means = [F.when(F.count(c) == n, F.sum(c) / n).alias(c) for c in cols]
-    return stacked.groupBy("id").agg(*means, F.count("*").alias("_n")).where(F.col("_n") == n).drop("_n")
+    if series is None:
+        means = [F.when(F.count(c) == n, F.sum(c) / n).alias(c) for c in cols]
+        return stacked.groupBy("id").agg(*means, F.count("*").alias("_n")).where(F.col("_n") == n).drop("_n")
+    means = stacked.groupBy("id").agg(*[(F.sum(c) / n).alias(c) for c in cols])
+    return series.select("id").join(means, "id", "left").na.fill(0.0, cols)
 
 
 def missing_ids(forecast: DataFrame, expected: DataFrame) -> DataFrame:

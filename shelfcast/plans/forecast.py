@@ -83,5 +83,7 @@ def intervals(
     keyed = series.select("id", *KEYS)
     errors = backtest_errors(backtest_predictions).join(keyed, "id")
     half = oi.halfwidths(oi.node_errors(errors), horizon * n_terms, ranks)
-    nodes = rollup(forecast.join(keyed, "id"), ["forecast"], by=["h"], leaf_rows=True)
-    return oi.interval_layout(forecast_wide(nodes, index=("level", "node")), half, ranks, horizon=horizon)
+    wide = forecast_wide(rollup(forecast.join(keyed, "id"), ["forecast"], by=["h"], leaf_rows=True), index=("level", "node"))
+    nodes = rollup(keyed.withColumn("n", F.lit(1)), ["n"], leaf_rows=True).select("level", "node")
+    # Every node has an interval: one without a forecast row is a forecast of zero.
+    return oi.interval_layout(nodes.join(wide, ["level", "node"], "left").na.fill(0.0), half, ranks, horizon=horizon)

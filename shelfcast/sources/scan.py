@@ -29,9 +29,9 @@ def day_columns(df: DataFrame) -> list[str]:
 def read_sales_wide(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Wide sales matrix (S1). The header names the columns; nothing is inferred from the data."""
     raw = spark.read.option("header", True).csv(path)
-    return raw.select(
-        *[c for c in SALES_KEYS if c in raw.columns], *[F.col(c).cast("int").alias(c) for c in day_columns(raw)]
-    )
+    days = day_columns(raw)
+    _require(raw, SALES_KEYS if days else [*SALES_KEYS, "d_1"])
+    return raw.select(*SALES_KEYS, *[F.col(c).cast("int").alias(c) for c in days])
 
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +48,14 @@ def _csv_by_name(spark: SparkSession, path, ddl: str) -> DataFrame:
     """CSV columns picked by header name and cast to the declared types; empty text is NULL."""
     raw = spark.read.option("header", True).csv(path)
     wanted = [part.strip().split(" ") for part in ddl.split(",")]
-    return nan_to_null(raw.select(*[F.col(n).cast(t).alias(n) for n, t in wanted if n in raw.columns]))
+    _require(raw, [n for n, _ in wanted])
+    return nan_to_null(raw.select(*[F.col(n).cast(t).alias(n) for n, t in wanted]))
+
+
+def _require(raw: DataFrame, names: Sequence[str]) -> None:
+    missing = [n for n in names if n not in raw.columns]
+    if missing:
+        raise ValueError(f"the header lacks {missing}")
 
 
 def read_forecasts(spark: SparkSession, paths: Sequence[str], horizon: int = HORIZON) -> DataFrame:
