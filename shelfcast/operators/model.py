@@ -7,9 +7,10 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,9 @@ MISSING = -9999.0
 class TreeParams:
     """Boosting parameters. The defaults are those of the final training (M2).
 
-    ``leaves`` is turned into a depth, as MLlib grows trees level by level.
+    ``leaves`` is turned into a depth, as MLlib grows trees level by level. ``patience`` rounds without
+    a better validation error end the search for the best number of trees. ``memory_mb`` bounds the
+    statistics of one pass over the rows: too little means several passes for each level.
     """
 
     step: float = 0.01
@@ -34,11 +37,15 @@ class TreeParams:
     feature_fraction: float = 0.8
     bins: int = 255
     seed: int = 0
-    early_stop: float = 0.01
+    patience: int = 100
+    memory_mb: int = 1024
 
     @property
     def depth(self) -> int:
-        return min(max((self.leaves + 1).bit_length() - 1, 1), 30)
+        depth = max((self.leaves + 1).bit_length() - 1, 1)
+        if depth > 30:
+            raise ValueError("MLlib grows trees of depth 30 at most")
+        return depth
 
 
 FINAL = TreeParams()
@@ -63,16 +70,17 @@ def params_for(store: str, base: TreeParams, overrides: dict[str, dict]) -> Tree
 def fit_indexers(frame: DataFrame, categorical: Sequence[str], bins: int = 255) -> PipelineModel | None:
     """Label indexes in label order, fitted once on training rows and kept with the model.
 
-    Only keys with fewer labels than ``bins`` are indexed, as a tree needs one bin
-    per label; so the driver never holds a long label list. Unseen labels share one
-    extra index.
+    A tree needs one bin per label and one for labels that training has not seen, so a key
+    with more labels than that is an error: leave it out of ``categorical``, and it enters as a number
+    (text as a hash). The size of a table never decides how a key enters.
     """
     if not categorical:
         return None
-    sizes = frame.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in categorical]).first()
-    narrow = [c for c in categorical if sizes[c] * 1.1 + 1 < bins]
-    if not narrow:
-        return None
+    sizes = frame.agg(*[F.countDistinct(_label(c)).alias(c) for c in categorical]).first()
+    wide = [c for c in categorical if sizes[c] + 1 > bins]
+    if wide:
+        raise ValueError(f"more labels than {bins} bins: {wide}")
+    narrow = list(categorical)
     indexer = StringIndexer(
         inputCols=narrow, outputCols=[f"{c}__ix" for c in narrow], stringOrderType="alphabetAsc", handleInvalid="keep"
     )
@@ -84,7 +92,7 @@ def _label(column: str):
 
 
 def _number(frame: DataFrame, column: str):
-    """A feature as a number; a key with too many labels to index is hashed to 31 bits."""
+    """A feature as a number; a text key that is not indexed is hashed to 31 bits."""
     if isinstance(frame.schema[column].dataType, T.StringType):
         return F.pmod(F.xxhash64(column), F.lit(2**31)).cast("double")
     return F.coalesce(F.col(column).cast("double"), F.lit(MISSING))
@@ -112,12 +120,14 @@ def fit_trees(
     validation_flag: str | None = None,
     checkpoint_every: int = 10,
 ):
-    """One boosted-tree model over a distributed design frame (M2, M4)."""
+    """One boosted-tree model over a distributed design frame (M2, M4).
+
+    With a validation flag all trees are grown on the other rows, every prefix of them is judged on the
+    flagged rows in one pass, and the best prefix is kept.
+    """
     optional = {}
     if weight is not None:
         optional["weightCol"] = weight
-    if validation_flag is not None:
-        optional |= {"validationIndicatorCol": validation_flag, "validationTol": params.early_stop}
     gbt = GBTRegressor(
         featuresCol="features",
         labelCol=label,
@@ -130,10 +140,42 @@ def fit_trees(
         featureSubsetStrategy=str(params.feature_fraction),
         minInstancesPerNode=params.rows_per_leaf,
         checkpointInterval=checkpoint_every,
+        maxMemoryInMB=params.memory_mb,
+        cacheNodeIds=True,
         seed=params.seed,
         **optional,
     )
-    return gbt.fit(train)
+    if validation_flag is None:
+        return gbt.fit(train)
+    model = gbt.fit(train.where(~F.col(validation_flag)))
+    held = train.where(F.col(validation_flag))
+    if held.limit(1).count() == 0:
+        return model
+    return first_trees(model, best_prefix(model.evaluateEachIteration(held, "squared"), params.patience))
+
+
+def best_prefix(errors: Sequence[float], patience: int) -> int:
+    """Number of trees with the least error before ``patience`` rounds bring no better one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The model of the first ``count`` trees; boosting adds trees one by one, so a prefix is a model."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    kinds = gateway.jvm.org.apache.spark.ml.regression
+    trees, weights = java.trees(), java.treeWeights()
+    kept = gateway.new_array(kinds.DecisionTreeRegressionModel, count)
+    kept_weights = gateway.new_array(gateway.jvm.double, count)
+    for i in range(count):
+        kept[i], kept_weights[i] = trees[i], weights[i]
+    short = kinds.GBTRegressionModel(java.uid(), kept, kept_weights, java.numFeatures())
+    return GBTRegressionModel(short.setFeaturesCol(java.getFeaturesCol()).setPredictionCol(java.getPredictionCol()))
 
 
 def importances(spark: SparkSession, model, features: Sequence[str]) -> DataFrame:

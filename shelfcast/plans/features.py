@@ -38,7 +38,8 @@ def build_fact(
     The calendar is broadcast. The fact is shuffled twice: to meet its prices, and
     by id for the target, whose partitioning the lag columns reuse.
     """
-    wide = with_serial(sales_wide, ["id"], buckets=serial_buckets)
+    # Only the ids are ranked; the day columns stay where they are until they meet their number.
+    wide = sales_wide.join(with_serial(sales_wide.select("id"), ["id"], buckets=serial_buckets), "id")
     days = day_columns(wide)
     fact = melt_days(wide, [*SALES_KEYS, "id_serial"], days, horizon)
 

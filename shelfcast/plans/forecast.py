@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +11,9 @@ from shelfcast.operators import intervals as oi
 from shelfcast.operators.backtest import backtest_errors
 from shelfcast.operators.forecast import forecast_wide, retrend, with_suffixes
 from shelfcast.operators.hierarchy import rollup
-from shelfcast.operators.model import Task, TreeParams, params_for, run_grid, train_and_score
+from shelfcast.operators.model import Task, TreeParams, model_path, params_for, run_grid, train_and_score
 from shelfcast.schema import HORIZON, KEYS, TAIL_RANKS, TERMS
+from shelfcast.session import table_path
 
 
 def score_grid(
@@ -29,7 +29,10 @@ def score_grid(
     parallel: int = 4,
     keep: Sequence[str] = ("id", "d", "baseline", "residual"),
 ) -> DataFrame:
-    """Train every (term, horizon, store) and return all predictions as one frame (M5, M6).
+    """Train every (term, horizon, store) and return all predictions as one table (M5, M6).
+
+    A task writes its predictions to the shared folder and lets go of its model, so the driver holds
+    no more models than run side by side; ``model_folder`` keeps them on disk.
 
     ``frame_for(term, horizon)`` returns a model frame with ``in_train`` and
     ``in_eval`` flags, normally a table written once per horizon and partitioned by
@@ -37,7 +40,10 @@ def score_grid(
     """
     frames = {key: frame_for(*key) for key in dict.fromkeys((t.term, t.horizon) for t in tasks)}
 
-    def work(task: Task) -> DataFrame:
+    spark = frames[tasks[0].term, tasks[0].horizon].sparkSession
+    folder = table_path(spark, "scores")
+
+    def work(task: Task) -> str:
         params = params_for(task.store, base, overrides or {})
         _, scored = train_and_score(
             frames[task.term, task.horizon],
@@ -50,9 +56,12 @@ def score_grid(
             keep=keep,
             model_folder=model_folder,
         )
-        return scored
+        path = model_path(folder, task)
+        scored.write.parquet(path)
+        return path
 
-    return reduce(DataFrame.unionByName, run_grid(tasks, work, parallel))
+    # Each path is a table of its own with all columns; folder names are not columns.
+    return spark.read.parquet(*run_grid(tasks, work, parallel))
 
 
 def final_forecast(predictions: DataFrame, last_observed: int) -> DataFrame:

@@ -122,14 +122,40 @@ def test_grid_of_models(spark, fact, tmp_path):
 
 def test_wide_and_unseen_labels(spark):
     train = spark.createDataFrame([(f"i{i}", i % 3, float(i)) for i in range(60)], "item string, wday int, x double")
-    indexers = om.fit_indexers(train, ["item", "wday"], bins=32)
+    indexers = om.fit_indexers(train, ["wday"], bins=32)
     assert indexers.stages[0].getInputCols() == ["wday"]
     out = om.design(train.limit(1).withColumn("wday", F.lit(9)), ["item", "wday", "x"], indexers).first()
     assert out.features[1] == 3.0 and out.item.startswith("i") and out.wday == 9
-    assert om.fit_indexers(train, ["item"], bins=32) is None
+    with pytest.raises(ValueError):
+        om.fit_indexers(train, ["item"], bins=32)
+
+
+def test_best_prefix_has_patience():
+    errors = [5.0, 4.0, 4.5, 4.4, 3.0, 3.5, 3.6, 3.7, 1.0]
+    assert om.best_prefix(errors, 100) == 9
+    assert om.best_prefix(errors, 3) == 5
+    assert om.best_prefix(errors, 2) == 2
+
+
+def test_validation_does_not_cut_a_slow_learner(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(600, 2))
+    y = 3 * x[:, 0] + rng.normal(size=600) * 2
+    rows = spark.createDataFrame(pd.DataFrame({"x0": x[:, 0], "x1": x[:, 1], "residual": y, "held": np.arange(600) % 3 == 0}))
+    params = om.TreeParams(step=0.05, trees=12, leaves=7, rows_per_leaf=5, bins=32, feature_fraction=1.0)
+    frame = om.design(rows, ["x0", "x1"])
+    model = om.fit_trees(frame, params, validation_flag="held")
+    assert model.getNumTrees > 6
+    short = om.first_trees(model, 2)
+    assert short.getNumTrees == 2 and short.treeWeights == model.treeWeights[:2]
+    errors = model.evaluateEachIteration(frame.withColumn("label", F.col("residual")), "squared")
+    pred = short.transform(frame).toPandas()
+    assert ((pred.pred - pred.residual) ** 2).mean() == pytest.approx(errors[1])
 
 
 def test_parameters():
+    with pytest.raises(ValueError):
+        om.TreeParams(leaves=2**32).depth
     assert om.FINAL.depth == 11 and om.params_for("CA_2", om.FINAL, om.FINAL_OVERRIDES).depth == 8
     assert om.params_for("CA_3", om.FINAL, om.FINAL_OVERRIDES).step == 0.03
     assert om.params_for("CA_3", om.BACKTEST, om.OVERRIDES).step == 0.08
