@@ -33,6 +33,14 @@ def duck():
     return con
 
 
+@pytest.fixture(autouse=True)
+def generated_code(spark):
+    """The catalog runs with whole-stage code generation, as in production."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def cell(x):
     if x is None or (isinstance(x, float) and math.isnan(x)):
         return None
