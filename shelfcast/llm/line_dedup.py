@@ -168,7 +168,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, removed: st
     With ``removed`` a column of that name holds the numbers of the lines that went, from 0.
     """
     cuts = written(_runs(later_copies(docs, min_words)), "cuts").withColumnsRenamed({"doc": "__doc", "text_key": "__key"})
-    joined = _keyed(docs).join(cuts, ["__doc", "__key"], "left")
+    # The cuts grow with the corpus, so they meet the texts by a shuffle at every size, never by broadcast.
+    joined = _keyed(docs).join(cuts.hint("merge"), ["__doc", "__key"], "left")
     gone = F.array_sort(F.array_distinct(F.flatten(F.transform("cuts", lambda c: F.sequence(c["line"], c["line"] + c["lines"] - 1)))))
     joined = joined.withColumn("__gone", F.coalesce(gone, F.array().cast("array<int>")))
     rest = joined.select(*docs.columns, "__gone")
