@@ -172,8 +172,11 @@ def _candidates(prefixes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     hub = lambda b: F.xxhash64(F.col("h"), b).bitwiseOR(F.lit(-(1 << 63)))  # noqa: E731  hubs are negative, classes are not
     banded = long.select("h", "gid", band.alias("band"))
     # Sizes that fit lie in the same band or in neighbours.
-    spokes = banded.select(F.col("gid").alias("a"), hub(F.col("band")).alias("b")).union(banded.select(F.col("gid").alias("a"), hub(F.col("band") + 1).alias("b")))
-    return members, pairs.union(spokes.distinct())
+    spokes = banded.select("gid", F.explode(F.array(hub(F.col("band")), hub(F.col("band") + 1))).alias("hub"))
+    # Groups of a cluster share their hubs: a group is tied to its first hub, and that one to the others once.
+    first = spokes.groupBy("gid").agg(F.min("hub").alias("first"))
+    hubs = spokes.join(first, "gid").select(F.col("first").alias("a"), F.col("hub").alias("b")).distinct()
+    return members, pairs.union(first.select(F.col("gid").alias("a"), F.col("first").alias("b"))).union(hubs)
 
 
 def _links(x: list[np.ndarray], y: list[np.ndarray] | None, percent: int) -> np.ndarray:
