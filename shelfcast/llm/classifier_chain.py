@@ -3,8 +3,9 @@
 Categories are predicted one after the other; the model of a category sees the probabilities of the
 earlier ones. It is trained on their out-of-fold predictions, so that it learns to trust them as far as
 they hold on texts that were not learned from. Features are the presence of words and of their first
-four to six bytes. Fitting takes a bounded sample of labelled rows; scoring streams whole texts
-through numpy in Arrow batches, without a shuffle.
+four to six bytes. Fitting takes a bounded sample of labelled rows, in which each class weighs as much
+as all its labels, so that probabilities follow the share of the class and not the size of the table;
+scoring streams whole texts through numpy in Arrow batches, without a shuffle.
 
 Defined cases: a null text counts as empty and has the rate of a text without features; rows with null
 labels or ids are never learned from; a category with one class only has a constant probability; repeated
@@ -63,9 +64,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, before: np.ndarray) -> Linear:
-    """Logistic regression on the features that tell the classes apart best; (rows, ids) are distinct pairs."""
+def fit_linear(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, before: np.ndarray, weight: np.ndarray | None = None) -> Linear:
+    """Logistic regression on the features that tell the classes apart best; (rows, ids) are distinct pairs.
+
+    ``weight`` is the number of labels that a row stands for. Features are chosen by the rows as they are.
+    """
     n, positive = len(y), y.sum()
+    weight = np.ones(n) if weight is None else weight * (n / weight.sum())
     none = np.zeros(0, np.int64)
     if positive == 0 or positive == n:
         rate = np.clip(positive / n if n else 0.5, 1e-3, 1 - 1e-3)
@@ -81,18 +86,19 @@ def fit_linear(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, before: np.ndar
     where[features] = np.arange(len(features))
     keep = where[ids] >= 0
     r, c = rows[keep], where[ids[keep]]
+    rate = np.clip((y * weight).sum() / n, 1e-9, 1 - 1e-9)
     w, v, b = np.zeros(len(features)), np.zeros(before.shape[1]), float(np.log(rate / (1 - rate)))
     forward = lambda w, v, b: b + np.bincount(r, w[c], n) + before @ v
     back = lambda e: (np.bincount(c, e[r], len(w)), before.T @ e, e.sum())
     x = (np.ones(len(w)), np.ones(len(v)), 1.0)
     for _ in range(12):  # the largest curvature, by power iteration
-        x = back(forward(*x))
+        x = back(weight * forward(*x))
         norm = float(np.sqrt((x[0] ** 2).sum() + (x[1] ** 2).sum() + x[2] ** 2))
         x = (x[0] / norm, x[1] / norm, x[2] / norm)
     rate_, t, last = 3.5 * n / norm, 1.0, (w, v, b)
     # Accelerated proximal gradient; the lasso keeps words that many texts bear out.
     for _ in range(STEPS):
-        gw, gv, gb = back((_sigmoid(forward(w, v, b)) - y) / n)
+        gw, gv, gb = back(weight * (_sigmoid(forward(w, v, b)) - y) / n)
         nw = w - rate_ * gw
         new = (np.sign(nw) * np.maximum(np.abs(nw) - rate_ * LASSO, 0), v - rate_ * gv, b - rate_ * gb)
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -102,9 +108,10 @@ def fit_linear(rows: np.ndarray, ids: np.ndarray, y: np.ndarray, before: np.ndar
     return Linear(float(b), features, w, v)
 
 
-def fit_chain(rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> list[Linear]:
+def fit_chain(rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = None) -> list[Linear]:
     """One model per column of ``labels``; later ones learn from out-of-fold probabilities of the earlier ones."""
     n = len(labels)
+    weight = np.ones(n) if weight is None else weight
     fold = np.arange(n) % FOLDS
     before, chain = np.zeros((n, 0)), []
     for j in range(labels.shape[1]):
@@ -112,9 +119,9 @@ def fit_chain(rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> list[Lin
         for k in range(FOLDS if j + 1 < labels.shape[1] else 0):
             index = np.cumsum(fold != k) - 1
             part = fold[rows] != k
-            model = fit_linear(index[rows[part]], ids[part], y[fold != k], before[fold != k])
+            model = fit_linear(index[rows[part]], ids[part], y[fold != k], before[fold != k], weight[fold != k])
             out += np.where(fold == k, _sigmoid(model.margins(rows, ids, n, before)), 0)
-        chain.append(fit_linear(rows, ids, y, before))
+        chain.append(fit_linear(rows, ids, y, before, weight))
         before = np.column_stack([before, out])
     return chain
 
@@ -122,27 +129,31 @@ def fit_chain(rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> list[Lin
 def learn_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, Column]], learned: Column, rows: int = SAMPLE_ROWS) -> list[Linear]:
     """Fit on at most ``rows`` labelled documents, positive ones of the label ``toxic`` first up to a half.
 
+    A row of a class that is cut to its half stands for the labels of the class that were not taken.
+
     ``categories`` are (name, condition over text and __toxic), in the order of the chain.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learned).select("doc_id", F.col("toxic").alias("__toxic"))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
-    known = known.filter("__toxic = 1").orderBy(*by_hash).limit(rows // 2).union(known.filter("__toxic = 0").orderBy(*by_hash).limit(rows // 2))
-    known = known.dropDuplicates(["doc_id"])
+    half = rows // 2
+    full = {x["__toxic"]: x["count"] for x in known.filter("__toxic IN (0, 1)").groupBy("__toxic").count().collect()}
+    parts = [known.filter(F.col("__toxic") == t).orderBy(*by_hash).limit(half).withColumn("__weight", F.lit(max(full.get(t, 0) / half, 1.0))) for t in (1, 0)]
+    known = parts[0].union(parts[1]).dropDuplicates(["doc_id"])
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # SAMPLE_ROWS rows at most
-    sample = sample.select("doc_id", "text", *[c.cast("int").alias(n) for n, c in categories])
+    sample = sample.select("doc_id", "text", "__weight", *[c.cast("int").alias(n) for n, c in categories])
     names = [n for n, _ in categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(x).astype("<u4").tobytes() for x in _features(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[batch.column(n) for n in names], pa.array(found, pa.binary())], ["doc_id", *names, "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__weight"), *[batch.column(n) for n in names], pa.array(found, pa.binary())], ["doc_id", "weight", *names, "ids"])
 
-    schema = ", ".join(["doc_id long", *[f"{n} int" for n in names], "ids binary"])
+    schema = ", ".join(["doc_id long", "weight double", *[f"{n} int" for n in names], "ids binary"])
     table = sample.mapInArrow(run, schema).toPandas().sort_values("doc_id", key=lambda s: th.mix(s.to_numpy(np.int64).view(np.uint64)))
     found = [np.frombuffer(b, "<u4").astype(np.int64) for b in table["ids"]]
     index = np.repeat(np.arange(len(found)), [len(x) for x in found])
     ids = np.concatenate(found) if found else np.zeros(0, np.int64)
-    return fit_chain(index, ids, table[names].to_numpy().reshape(len(table), len(names)))
+    return fit_chain(index, ids, table[names].to_numpy().reshape(len(table), len(names)), table["weight"].to_numpy(float))
 
 
 def score_chain(docs: DataFrame, chain: list[Linear], names: Sequence[str], text: str = "text") -> DataFrame:

@@ -82,6 +82,26 @@ def test_chain_uses_earlier_categories():
     assert ((p > 0.5) == first).all()
 
 
+def test_chain_scores_do_not_follow_the_number_of_labels(spark):
+    """A tenth is toxic; the sample takes a sixth to a half of it as the same texts come again under new ids."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(2400):
+        words = [f"word{rng.randrange(40)}" for _ in range(6)]
+        texts.append((" ".join([*words, "marked"] if rng.random() < (0.7 if i % 10 == 0 else 0.1) else words), int(i % 10 == 0)))
+    fixed = spark.createDataFrame([(0, "word1 word2"), (1, "word3 marked"), (2, "marked")], "doc_id long, text string")
+    whole = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    odds = []
+    for times in (1, 2, 8):
+        rows = [(i + 2400 * k, t, y) for k in range(times) for i, (t, y) in enumerate(texts)]
+        table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        chain = c.learn_chain(table.drop("toxic"), table.drop("text"), [("p", F.col("__toxic") == 1)], F.lit(True), rows=2400)
+        p = np.array([x.p for x in c.score_chain(fixed, chain, ["p"]).orderBy("doc_id").collect()])
+        odds.append(np.log(p / (1 - p)))
+        assert abs(c.score_chain(whole, chain, ["p"]).agg(F.avg("p")).first()[0] - 0.1) < 0.03
+    assert abs(odds[1] - odds[0]).max() < 0.4 and abs(odds[2] - odds[0]).max() < 0.4
+
+
 def test_chain_defined_cases(spark, odd, empty):
     none = c.learn_chain(odd, spark.createDataFrame([], "doc_id long, toxic int"), [("p", F.col("__toxic") == 1)], F.lit(True))
     scored = c.score_chain(odd, none, ["p"])
