@@ -176,9 +176,9 @@ def masked_update(spark, sf):
 # ---------------------------------------------------------------- calendar
 
 
-def calendar(spark, sf):
+def calendar(spark, sf, horizon=0):
     bounds = r.lines(spark, sf).agg(
-        r.date_of(F.lit(1)).alias("lo"), r.date_of(F.max("d")).alias("hi")
+        r.date_of(F.lit(1)).alias("lo"), r.date_of(F.max("d") + horizon).alias("hi")
     )
     return oc.calendar_features(oc.calendar_between(bounds), F.lit("1995-01-02").cast("date"))
 
@@ -292,11 +292,11 @@ def event_countdown(spark, sf):
 EVENT_TYPES = fc.LABEL_EVENT_TYPES
 
 
-def typed_calendar(spark, sf):
+def typed_calendar(spark, sf, horizon=0):
     d = F.col("d")
     kind = F.when(d % 11 == 0, "Sporting").when(d % 13 == 0, "Cultural").when(d % 17 == 0, "National").when(d % 19 == 0, "Religious")
     names = F.when(d % 11 == 0, "Easter").when(d % 13 == 0, "OrthodoxEaster").when(d % 17 == 0, "Parade")
-    return calendar(spark, sf).select(
+    return calendar(spark, sf, horizon).select(
         "d",
         "date",
         "wday",
@@ -362,6 +362,17 @@ def state_pick(spark, sf):
     )
 
 
+def holidays(spark, sf, horizon=0):
+    md = F.date_format("date", "MM-dd")
+    state = F.explode(F.array(*[F.lit(s) for s in r.STATES])).alias("state_id")
+    days = calendar(spark, sf, horizon).select("date", state)
+    return days.where(
+        md.isin("12-25", "01-01")
+        | ((F.col("state_id") == "EUROPE") & (md == "05-01"))
+        | ((F.col("state_id") == "AMERICA") & (md == "07-04"))
+    )
+
+
 @query(
     "holiday_flag",
     f"""WITH {SQL_TYPED}, flagged AS (SELECT state_id, sales,
@@ -372,16 +383,8 @@ def state_pick(spark, sf):
 )
 def holiday_flag(spark, sf):
     """(state, date) pairs listed in a holiday table."""
-    md = F.date_format("date", "MM-dd")
-    state = F.explode(F.array(*[F.lit(s) for s in r.STATES])).alias("state_id")
-    days = calendar(spark, sf).select("date", state)
-    holidays = days.where(
-        md.isin("12-25", "01-01")
-        | ((F.col("state_id") == "EUROPE") & (md == "05-01"))
-        | ((F.col("state_id") == "AMERICA") & (md == "07-04"))
-    )
     fact = r.leaf_sales(spark, sf).withColumn("date", r.date_of(F.col("d")))
-    return oc.flag_holidays(fact, holidays).groupBy("state_id", "national_holiday").agg(
+    return oc.flag_holidays(fact, holidays(spark, sf)).groupBy("state_id", "national_holiday").agg(
         F.count("*").alias("n"), F.sum("sales").alias("units")
     )
 

@@ -2,66 +2,133 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.catalog import retail as r
-from shelfcast.catalog.feature_queries import calendar, target
+from shelfcast.catalog.feature_queries import calendar, featured_prices, holidays, typed_calendar
+from shelfcast.catalog.hierarchy_queries import stored_weights
 from shelfcast.catalog.registry import query
+from shelfcast.functions import calendar as fc
+from shelfcast.functions import price as fp
 from shelfcast.operators import backtest as ob
-from shelfcast.operators import lags as ol
+from shelfcast.operators import metrics as ome
 from shelfcast.operators import model as om
-from shelfcast.operators.calendar import join_calendar
+from shelfcast.operators import reshape as orr
+from shelfcast.operators.calendar import flag_holidays, join_calendar
+from shelfcast.operators.encode import term_cutoffs
+from shelfcast.operators.price import join_prices
+from shelfcast.operators.target import add_baseline, add_residual
+from shelfcast.plans.features import model_frame
 from shelfcast.plans.forecast import score_grid
-from shelfcast.session import checkpointed
-
-H = 7
-# Small trees: the queries show the plan, not the best forecast.
-SMALL = om.TreeParams(step=0.1, trees=3, leaves=7, rows_per_leaf=20, bins=32)
-CALENDAR = ["wday", "day", "month", "is_weekend", "week_of_month"]
-CATEGORICAL = ["wday"]
-ROLLS = [
-    *[ol.lag(s) for s in (7, 14, 21)],
-    *ol.shifted([ol.Roll(7, 4, "mean"), ol.Roll(1, 7, "mean"), ol.Roll(1, 30, "mean"), ol.Roll(1, 30, "std")], [H]),
-]
-FEATURES = [*CALENDAR, *[x.name for x in ROLLS]]
-
-
-def frame(spark, sf, term="public"):
-    """Model frame of one term: lag and calendar columns, split flags."""
+from shelfcast.plans.manifests import CATEGORICAL_COLUMNS, feature_columns
+from shelfcast.schema import ANCHORS, HORIZON, KEYS, TERMS
+from shelfcast.session import table_path
+from shelfcast.sources import store
+
+# Keys of single series and items have more labels than the tree has bins, on every size: they enter as numbers.
+CATEGORICAL = [c for c in CATEGORICAL_COLUMNS if c not in ("id_serial", "item_id")]
+TRAIN_START = 425
+
+
+def retail_fact(spark, sf):
+    """Dense days of every store and item and 28 empty future ones, with calendar, event, price and target columns."""
+    leaf = r.leaf_sales(spark, sf).select("id", *KEYS, "d", "sales")
+    rows = orr.dense_days(leaf, 1, r.last_day(spark, sf), HORIZON, keep=KEYS)
+    serial = orr.with_serial(r.leaf_series(spark, sf).select("id"), ["id"])
+    rows = rows.join(serial, "id")
+
+    events = typed_calendar(spark, sf, HORIZON).drop("date", "wday", "day")
+    events = events.withColumns(
+        {
+            "event_name_1": F.col("event_name_2"),
+            "event_name_2": fc.coded(F.col("event_name_2"), fc.EVENT_NAME_2_CODES),
+            "event_type_2": fc.coded(F.col("event_type_1"), fc.EVENT_TYPE_2_CODES),
+            "wm_yr_wk": F.floor((F.col("d") - 1) / 7).cast("int"),
+        }
+    )
+    rows = join_calendar(rows, calendar(spark, sf, HORIZON).join(F.broadcast(events), "d"))
+    rows = rows.withColumns(
+        {
+            "snap_total": fc.state_pick(F.col("state_id"), {s: F.col(f"snap_{i}") for i, s in enumerate(r.STATES)}),
+            "event_type_statecat_labelenc": fc.composite_label(F.col("state_id"), F.col("cat_id"), F.col("event_type_1"), r.STATES, r.CATS),
+        }
+    ).drop(*[f"snap_{i}" for i in range(len(r.STATES))], "event_type_1")
+    rows = flag_holidays(rows, holidays(spark, sf, HORIZON))
+    rows = join_prices(rows, featured_prices(spark, sf).drop("state_id", "cat_id", "dept_id"))
+    rows = rows.withColumn("sell_price_minority12", fp.minor_digits(F.col("sell_price")))
+    return add_residual(add_baseline(rows))
+
+
+def weighted_frame(fact, weights, last_observed, term, h):
+    """Manifest columns of one (term, horizon), split flags, and the weight of each series (H6), joined by id."""
+    a, z = ob.term_windows(last_observed)[term]
+    rows = model_frame(fact, term, h, term_cutoffs(last_observed)).join(weights, "id")
+    d = F.col("d")
+    return rows.withColumns({"in_train": (d >= TRAIN_START) & (d < a), "in_val": d.between(a, z), "in_eval": d.between(a, z)})
+
+
+def grids(stores, final, backtest):
+    """(tasks, parameters, overrides, validation flag): every horizon of the future term, the anchors of the past ones.
+
+    The future term has no days to stop on.
+    """
+    return [
+        (om.model_grid(TERMS[:1], range(1, HORIZON + 1), stores), final, om.FINAL_OVERRIDES, None),
+        (om.model_grid(TERMS[1:], ANCHORS, stores), backtest, om.OVERRIDES, "in_val"),
+    ]
+
+
+def prepared(spark, sf):
+    """The stores, and a function that writes the frame of a (term, horizon) partitioned by store."""
     hi = r.last_day(spark, sf)
-    a, z = ob.term_windows(hi)[term]
-    rows = ol.add_rolls(target(spark, sf).drop("sales"), ROLLS)
-    rows = join_calendar(rows, calendar(spark, sf).select("d", *CALENDAR))
-    return rows.withColumns(
-        {"in_train": (F.col("d") >= 425) & (F.col("d") < a), "in_val": F.col("d").between(a, z), "in_eval": F.col("d").between(a, z)}
-    ).withColumn("store_id", F.col("state_id"))
+    fact = store.write_table(retail_fact(spark, sf), table_path(spark, "fact"), ["store_id"])
+    weights = ome.series_training_weight(r.leaf_series(spark, sf), ome.scaled_weight(stored_weights(spark, sf)))
+    weights = store.write_table(weights.select("id", "train_weight"), table_path(spark, "weights"))
+    stores = sorted(x.store_id for x in r.leaf_series(spark, sf).select("store_id").distinct().collect())
+    return stores, lambda term, h: store.write_table(
+        weighted_frame(fact, weights, hi, term, h), table_path(spark, f"frame-{term}-{h}"), ["store_id"]
+    )
 
 
 @query("gbt_forecast")
-def gbt_forecast(spark, sf):
-    """One boosted-tree model per state, scored on a past term."""
-    table = checkpointed(frame(spark, sf))
-    tasks = om.model_grid(["public"], [H], r.STATES)
-    scored = score_grid(
-        lambda term, h: table, tasks, lambda h: FEATURES, CATEGORICAL, SMALL, validation_flag="in_val"
-    )
-    return scored.select(
+def gbt_forecast(spark, sf, final=om.FINAL, backtest=om.BACKTEST):
+    """A weighted boosted-tree model per (term, horizon, store).
+
+    ``final`` and ``backtest`` are the parameters of the future and the past terms. Their number of trees (1500) is
+    a parameter: fewer make a shorter run and a worse forecast.
+    """
+    stores, frame = prepared(spark, sf)
+    parts = [
+        score_grid(frame, tasks, feature_columns, CATEGORICAL, params, overrides, weight="train_weight", validation_flag=flag)
+        for tasks, params, overrides, flag in grids(stores, final, backtest)
+    ]
+    return parts[0].unionByName(parts[1]).select(
         "term", "horizon", "store_id", "id", "d", F.round(F.col("baseline") + F.col("pred"), 6).alias("forecast")
     )
 
 
 @query("feature_importance")
-def feature_importance(spark, sf):
-    """Importances of each state's model, largest first."""
-    table = checkpointed(frame(spark, sf))
+def feature_importance(spark, sf, final=om.FINAL, backtest=om.BACKTEST):
+    """Importances of the model of each (term, horizon, store); parameters as in ``gbt_forecast``."""
+    stores, frame = prepared(spark, sf)
     out = []
-    for task in om.model_grid(["public"], [H], r.STATES):
-        model, _ = om.train_and_score(table, task, FEATURES, CATEGORICAL, SMALL)
-        out.append(om.importances(spark, model, FEATURES).withColumn("store_id", F.lit(task.store)))
-    return reduce(DataFrame.unionByName, out)
+    for tasks, params, overrides, flag in grids(stores, final, backtest):
+        frames = {key: frame(*key) for key in dict.fromkeys((t.term, t.horizon) for t in tasks)}
+
+        def work(task):
+            features = feature_columns(task.horizon)
+            model, _ = om.train_and_score(
+                frames[task.term, task.horizon], task, features, CATEGORICAL, om.params_for(task.store, params, overrides),
+                weight="train_weight", validation_flag=flag,
+            )
+            values = model.featureImportances.toArray().tolist()
+            return [(task.term, task.horizon, task.store, f, v) for f, v in zip(features, values)]
+
+        out += [row for rows in om.run_grid(tasks, work) for row in rows]
+    fields = {"term": T.StringType(), "horizon": T.IntegerType(), "store_id": T.StringType(), "feature": T.StringType(), "importance": T.DoubleType()}
+    schema = T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    return spark.createDataFrame(out, schema).orderBy("term", "horizon", "store_id", F.desc("importance"), "feature")
 
 
 @query(
