@@ -30,7 +30,6 @@ HEADLINES = [
     "interval_halfwidth",
     "interval_quantiles",
     "blend_mean",
-    "gbt_forecast",
 ]
 
 
@@ -47,6 +46,7 @@ def main() -> None:
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     spark.stop()
     scale = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     total = round(sum(times.values()), 3)

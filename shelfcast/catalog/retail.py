@@ -100,6 +100,18 @@ def leaf_sales(spark: SparkSession, sf_dir: str, first: int | None = None) -> Da
     )
 
 
+def type_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse daily sales per store and part type, the leaf of the dense plans: one row per (id, d).
+
+    The part type stands for the item, its department and its category, so all twelve levels exist.
+    """
+    leaf = leaf_sales(spark, sf_dir).groupBy("state_id", "store_id", "cat_id", "d")
+    kind = F.col("cat_id")
+    return leaf.agg(F.sum("sales").alias("sales"), F.sum("cents").alias("cents")).select(
+        F.concat_ws("_", kind, "store_id").alias("id"), "state_id", "store_id", "cat_id", kind.alias("dept_id"), kind.alias("item_id"), "d", "sales", "cents"
+    )
+
+
 def leaf_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per store and item that ever sold."""
     pairs = (
@@ -121,11 +133,11 @@ def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weekly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_prices(spark: SparkSession, sf_dir: str, leaf: DataFrame | None = None) -> DataFrame:
     """Weekly price per store and item in whole cents: revenue over units, rounded down."""
     week = F.floor((F.col("d") - 1) / 7).cast("int")
     return (
-        leaf_sales(spark, sf_dir)
+        (leaf_sales(spark, sf_dir) if leaf is None else leaf)
         .groupBy("state_id", "store_id", "cat_id", "dept_id", "item_id", week.alias("wm_yr_wk"))
         .agg((F.expr("sum(cents) div cast(sum(sales) as bigint)") / 100).alias("sell_price"))
     )

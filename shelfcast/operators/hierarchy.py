@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +33,13 @@ def node_list(series: DataFrame, levels: dict = LEVELS) -> DataFrame:
     return membership(series, levels).groupBy("level", "node").agg(F.count("*").alias("n_series"))
 
 
-def _grouped(df: DataFrame, levels: dict, measures: Sequence[str], by: Sequence[str], parts: dict) -> DataFrame:
-    """Sum the measures for every (level, part) pair with one grouping-sets aggregate."""
+def _grouped(
+    df: DataFrame, levels: dict, measures: Sequence[str], by: Sequence[str], parts: dict, sums: Sequence[Column], finish: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Aggregate for every (level, part) pair with one grouping-sets aggregate."""
     keys = [k for k in dict.fromkeys(k for ks in levels.values() for k in ks)]
     part_cols = [c for c in dict.fromkeys(c for cs in parts.values() for c in cs)]
     columns = [*keys, *part_cols, *by]
-    sums = [F.sum(m).alias(m) for m in measures]
     pairs = [(lname, pname) for lname in levels for pname in parts]
     sets = [[*levels[lname], *parts[pname], *by] for lname, pname in pairs]
 
@@ -61,6 +62,7 @@ def _grouped(df: DataFrame, levels: dict, measures: Sequence[str], by: Sequence[
             out = F.when(cond, value(pair)) if out is None else out.when(cond, value(pair))
         return out
 
+    grouped = finish(grouped)
     out = [pick(lambda p: F.lit(p[0])).alias("level"), pick(lambda p: node_label(levels[p[0]])).alias("node")]
     if list(parts) != [""]:
         out.append(pick(lambda p: F.lit(p[1])).alias("part"))
@@ -74,6 +76,8 @@ def rollup(
     levels: dict = LEVELS,
     parts: dict | None = None,
     leaf_rows: bool = False,
+    aggregates: Sequence[Column] | None = None,
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Sum leaf rows up to every node of every level.
 
@@ -89,24 +93,27 @@ def rollup(
 
     ``leaf_rows`` promises at most one row per (id, ``by``). The leaf level, the
     largest of all, is then a plain projection and is not shuffled.
+
+    ``aggregates`` replace the sums, for measures that merge in another way, and ``finish`` makes the measures out of
+    what they return. Both steps use them, so merging merged measures must be right.
     """
+    sums = [F.sum(m).alias(m) for m in measures] if aggregates is None else list(aggregates)
     if leaf_rows and parts is None and LEAF in levels:
         others = {n: k for n, k in levels.items() if n != LEAF}
         leaf = df.select(F.lit(LEAF).alias("level"), node_label(levels[LEAF]).alias("node"), *by, *measures)
-        return rollup(df, measures, by, others).unionByName(leaf) if others else leaf
+        return rollup(df, measures, by, others, aggregates=aggregates, finish=finish).unionByName(leaf) if others else leaf
     parts = {"": ()} if parts is None else parts
     fine = {n: k for n, k in levels.items() if "item_id" in k}
     coarse = {n: k for n, k in levels.items() if n not in fine}
     pieces = []
     if fine:
-        pieces.append(_grouped(df, fine, measures, by, parts))
+        pieces.append(_grouped(df, fine, measures, by, parts, sums, finish))
     if coarse:
         keys = dict.fromkeys(k for ks in coarse.values() for k in ks)
         part_cols = dict.fromkeys(c for cs in parts.values() for c in cs)
         group = [*keys, *part_cols, *by]
-        sums = [F.sum(m).alias(m) for m in measures]
-        base = df.groupBy(*group).agg(*sums) if group else df.agg(*sums)
-        pieces.append(_grouped(base, coarse, measures, by, parts))
+        base = finish(df.groupBy(*group).agg(*sums) if group else df.agg(*sums))
+        pieces.append(_grouped(base, coarse, measures, by, parts, sums, finish))
     return pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -111,6 +111,27 @@ def _from_blocks(roll: Roll, block, days: list[Column]) -> Column:
     return F.sqrt((within + between + single) / (roll.window - 1))
 
 
+SINCE = "_since"
+
+
+def with_since(df: DataFrame, id_col: str = "id", name: str = SINCE) -> DataFrame:
+    """The frame with the first day of the gap-free stretch that each row stands in.
+
+    A missing or a repeated day starts a new stretch. The row s places back lies s days back exactly if the
+    stretch reaches that far, so one comparison guards every lag; both passes share the sort by (id, d).
+    """
+    by_day = Window.partitionBy(id_col).orderBy("d")
+    running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.col("d") - F.lag("d").over(by_day)
+    starts = F.when(F.col(f"{name}_step").isNull() | (F.col(f"{name}_step") != 1), F.col("d"))
+    return df.withColumn(f"{name}_step", step).withColumn(name, F.max(starts).over(running)).drop(f"{name}_step")
+
+
+def safe_lag(column: str, shift: int, by_day, since: str = SINCE) -> Column:
+    """The value ``shift`` days back; NULL if a gap lies between."""
+    return F.when(F.col("d") - shift >= F.col(since), F.lag(column, shift).over(by_day)) if shift else F.col(column)
+
+
 def _with_stats(df: DataFrame, bases: list[Roll], value: str, by_day) -> DataFrame:
     """The frame plus one unshifted statistic per Roll; helper columns are dropped again."""
     kept = df.columns
@@ -119,9 +140,9 @@ def _with_stats(df: DataFrame, bases: list[Roll], value: str, by_day) -> DataFra
 
     # Plain lags, and how many days in a row have a value.
     offsets = sorted({o for b in bases for o in _offsets(b)})
-    first = {f"_lag_{o}": F.lag(value, o).over(by_day) if o else F.col(value) for o in offsets}
+    first = {f"_lag_{o}": safe_lag(value, o, by_day) for o in offsets}
     last_gap = F.max(F.when(F.col(value).isNull(), F.col("d"))).over(running)
-    first["_run"] = F.col("d") - F.coalesce(last_gap, F.min("d").over(running) - 1)
+    first["_run"] = F.col("d") - F.greatest(last_gap, F.col(SINCE) - 1)
     for b in bases:
         if b.fn in ("skew", "kurt"):
             frame = by_day.rowsBetween(-(b.window - 1), 0)
@@ -173,9 +194,10 @@ def _with_stats(df: DataFrame, bases: list[Roll], value: str, by_day) -> DataFra
 
 
 def add_rolls(df: DataFrame, rolls: Iterable[Roll], value: str = "residual", id_col: str = "id") -> DataFrame:
-    """Add one column per Roll to a frame that has one row per (id, day), without gaps.
+    """Add one column per Roll to a frame that has one row per (id, day).
 
-    A statistic is NULL unless all its days have a value. On a gap-free daily grid,
+    A statistic is NULL unless all its days have a value, and unless the days from its first one up to the row
+    are there without a gap. On a gap-free daily grid,
     shifting and rolling commute, so each statistic is rolled once and then lagged
     for every shift that is asked for. Values k days apart are plain lags of the
     daily series. Long windows are put together from seven-day blocks. So all
@@ -189,6 +211,7 @@ def add_rolls(df: DataFrame, rolls: Iterable[Roll], value: str = "residual", id_
     rolls = list(dict.fromkeys(rolls))
     by_day = Window.partitionBy(id_col).orderBy("d")
     kept = df.columns
+    df = with_since(df, id_col)
     bases = {r.unshifted for r in rolls if r.fn != "lag"}
     bases = sorted(bases | {_mean_of(b) for b in bases if b.fn == "std"})
     groups = (
@@ -202,12 +225,30 @@ def add_rolls(df: DataFrame, rolls: Iterable[Roll], value: str = "residual", id_
 
     # Last pass: move each statistic to its shifts. Same partitioning and order.
     def moved(r: Roll) -> Column:
-        source = value if r.fn == "lag" else f"_{r.unshifted.name}"
-        return F.lag(source, r.shift).over(by_day) if r.shift else F.col(source)
+        return safe_lag(value if r.fn == "lag" else f"_{r.unshifted.name}", r.shift, by_day)
 
     return df.select(*kept, *[moved(r).alias(r.name) for r in rolls])
 
 
+def with_statistics(df: DataFrame, value: str = "residual", id_col: str = "id") -> DataFrame:
+    """The frame with the 30 statistics as of each day and ``_since``: all that ``moved_rolls`` needs."""
+    return with_since(add_rolls(df, ALL_ROLLS, value, id_col), id_col)
+
+
+def moved_rolls(table: DataFrame, rolls: Iterable[Roll], value: str = "residual", by: Sequence[str] = ("id",)) -> DataFrame:
+    """Lag columns read off a table of ``with_statistics``: plain lags, nothing is rolled again.
+
+    On a table that is bucketed by id this needs no exchange, whatever the horizon asks for. A column of ``by`` that
+    belongs to the id, like its store, lets a filter on it pass to the scan.
+    """
+    by_day = Window.partitionBy(*by).orderBy("d")
+    statistics = {r.name for r in ALL_ROLLS}
+    kept = [c for c in table.columns if c not in statistics and c != SINCE]
+    rolls = list(dict.fromkeys(rolls))
+    columns = [safe_lag(value if r.fn == "lag" else r.unshifted.name, r.shift, by_day).alias(r.name) for r in rolls]
+    return table.select(*kept, *columns)
+
+
 # The statistics computed for every shift.
 STRIDED_MEANS = [Roll(k, w, "mean") for k in (2, 3, 5) for w in (3, 6, 10)]
 WEEKLY_MEANS = [Roll(7, w, "mean") for w in (2, 3, 4, 8, 12)]

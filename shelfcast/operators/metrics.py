@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,6 +138,34 @@ def wrmsse(
     ).select(*by, F.coalesce("level", F.lit("all")).alias("level"), "wrmsse", "n_nodes")
 
 
+def _vector_sum(column: str) -> Column:
+    return Summarizer.sum(array_to_vector(F.col(column))).alias(column)
+
+
+def wrmsse_by_prefix(
+    errors: DataFrame,
+    weights: DataFrame,
+    days: int = HORIZON,
+    error: str = "errs",
+    levels: dict = LEVELS,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """WRMSSE of many forecasts at once: one array with a place per forecast (M4, H7).
+
+    ``errors`` holds an array of errors per leaf and day, for instance those of every prefix of a boosted
+    model. The arrays are summed up the levels place by place, so all forecasts cost one roll-up, and a place of the result
+    equals ``wrmsse`` of that forecast alone.
+    """
+    def arrays(df: DataFrame) -> DataFrame:
+        return df.withColumn(error, vector_to_array(error))
+
+    nodes = rollup(errors, [error], by=[*by, "d"], levels=levels, leaf_rows=True, aggregates=[_vector_sum(error)], finish=arrays)
+    squares = nodes.withColumn(error, F.transform(error, lambda e: e * e)).groupBy("level", "node", *by).agg(_vector_sum(error))
+    scored = weights.join(arrays(squares), ["level", "node", *by])
+    part = F.transform(error, lambda s: F.col("weight") * F.sqrt(s / days / F.col("scale")))
+    return arrays(scored.withColumn(error, part).groupBy(*by).agg(_vector_sum(error))).withColumnRenamed(error, "wrmsse")
+
+
 def wrmsse_leaf(errors: DataFrame, weights: DataFrame, days: int = HORIZON, error: str = "err") -> DataFrame:
     """WRMSSE of the leaf level with weights rescaled to sum to one (H8, Q5)."""
     leaf = {LEAF: LEVELS[LEAF]}

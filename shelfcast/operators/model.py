@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -10,12 +12,14 @@ from dataclasses import dataclass, replace
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.session import checkpointed
+from shelfcast.operators.metrics import wrmsse_by_prefix
+from shelfcast.schema import HORIZON, KEYS
 
 MISSING = -9999.0
 
@@ -112,19 +116,8 @@ def design(frame: DataFrame, features: Sequence[str], indexers: PipelineModel |
     return vector.transform(frame).select(*columns, "features")
 
 
-def fit_trees(
-    train: DataFrame,
-    params: TreeParams,
-    label: str = "residual",
-    weight: str | None = None,
-    validation_flag: str | None = None,
-    checkpoint_every: int = 10,
-):
-    """One boosted-tree model over a distributed design frame (M2, M4).
-
-    With a validation flag all trees are grown on the other rows, every prefix of them is judged on the
-    flagged rows in one pass, and the best prefix is kept.
-    """
+def fit_trees(train: DataFrame, params: TreeParams, label: str = "residual", weight: str | None = None, checkpoint_every: int = 10):
+    """One boosted-tree model over a distributed design frame (M2)."""
     optional = {}
     if weight is not None:
         optional["weightCol"] = weight
@@ -145,13 +138,42 @@ def fit_trees(
         seed=params.seed,
         **optional,
     )
-    if validation_flag is None:
-        return gbt.fit(train)
-    model = gbt.fit(train.where(~F.col(validation_flag)))
-    held = train.where(F.col(validation_flag))
-    if held.limit(1).count() == 0:
-        return model
-    return first_trees(model, best_prefix(model.evaluateEachIteration(held, "squared"), params.patience))
+    return gbt.fit(train)
+
+
+def staged_predictions(model: GBTRegressionModel, frame: DataFrame, into: str = "staged") -> DataFrame:
+    """Array column with the prediction of every prefix of the trees: place k is that of the first k + 1.
+
+    One pass finds the leaf of each tree; a table of leaf values, as large as the model, turns leaves into numbers.
+    """
+    values = [[float(x) for x in re.findall(r"Predict: (\S+)", t.toDebugString)] for t in model.trees]
+    steps = F.from_json(F.lit(json.dumps([[w * v for v in vs] for w, vs in zip(model.treeWeights, values)])), "array<array<double>>")
+    leaves = model.copy().setLeafCol("_leaf").transform(frame)
+    each = F.zip_with(vector_to_array("_leaf"), steps, lambda leaf, vs: F.get(vs, leaf.cast("int")))
+    sums = F.aggregate(each, F.array().cast("array<double>"), lambda acc, x: F.array_append(acc, x + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0))))
+    return leaves.withColumn(into, sums).drop("_leaf", "pred")
+
+
+@dataclass(frozen=True)
+class Judge:
+    """How the number of trees is chosen (M4): WRMSSE of each prefix on the flagged rows of the frame.
+
+    ``weights`` has (level, node, weight, scale), with a ``store_id`` for the hierarchy inside each store.
+    """
+
+    flag: str
+    weights: DataFrame
+    days: int = HORIZON
+
+
+def prefix_errors(model: GBTRegressionModel, held: DataFrame, judge: Judge, store: str, label: str = "residual") -> list[float]:
+    """WRMSSE of every prefix of the trees on the design rows ``held`` (M4); empty without rows."""
+    rows = staged_predictions(model, held).withColumn("errs", F.transform("staged", lambda p: p - F.col(label)))
+    weights = judge.weights
+    if "store_id" in weights.columns:
+        weights = weights.where(F.col("store_id") == store).drop("store_id")
+    found = wrmsse_by_prefix(rows.select("id", *KEYS, "d", "errs"), weights, judge.days).first()
+    return list(found.wrmsse) if found is not None and found.wrmsse is not None else []
 
 
 def best_prefix(errors: Sequence[float], patience: int) -> int:
@@ -203,22 +225,16 @@ def model_path(folder: str, task: Task) -> str:
     return os.path.join(folder, f"term={task.term}", f"horizon={task.horizon}", f"store={task.store}")
 
 
-def save_model(model, indexers: PipelineModel | None, folder: str, task: Task) -> str:
-    """Persist a fitted model together with its label indexes under its task."""
+def save_model(model, folder: str, task: Task) -> str:
+    """Persist a fitted model under its task (S10); its label indexes lie beside it once per term."""
     path = model_path(folder, task)
-    PipelineModel([*(indexers.stages if indexers is not None else []), model]).write().overwrite().save(path)
+    model.write().overwrite().save(path)
     return path
 
 
-def load_model(folder: str, task: Task):
-    """The model of a task and its label indexes."""
-    stages = PipelineModel.load(model_path(folder, task)).stages
-    return stages[-1], PipelineModel(stages[:-1]) if len(stages) > 1 else None
-
-
-def score(model, indexers: PipelineModel | None, frame: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Predicted residuals (column ``pred``) of a fitted or loaded model."""
-    return model.transform(design(frame, features, indexers)).drop("features")
+def load_model(folder: str, task: Task) -> GBTRegressionModel:
+    """The saved model of a task."""
+    return GBTRegressionModel.load(model_path(folder, task))
 
 
 def run_grid(tasks: Sequence[Task], work, parallel: int = 4) -> list:
@@ -231,37 +247,20 @@ def run_grid(tasks: Sequence[Task], work, parallel: int = 4) -> list:
         return list(pool.map(work, tasks))
 
 
-def train_and_score(
-    frame: DataFrame,
-    task: Task,
-    features: Sequence[str],
-    categorical: Sequence[str],
-    params: TreeParams,
-    train_flag: str = "in_train",
-    score_flag: str = "in_eval",
-    label: str = "residual",
-    weight: str | None = None,
-    validation_flag: str | None = None,
-    store_col: str = "store_id",
-    keep: Sequence[str] = ("id", "d", "baseline", "residual"),
-    model_folder: str | None = None,
-):
-    """Fit one task on its store's training rows and score its scoring rows.
-
-    The design frame is checkpointed before boosting: every tree passes over it
-    again, and a lost executor must not replay the feature plan.
+def train(rows: DataFrame, store: str, params: TreeParams, label: str = "residual", weight: str | None = None, judge: Judge | None = None):
+    """(model, WRMSSE of each prefix) of one store's design rows.
+
+    ``rows`` has ``features``, the label, ``in_train`` and what the judge needs: a written table, as every tree passes over it
+    and a lost executor must not replay the feature plan. With a judge, all trees are grown, and the
+    best prefix within the patience is kept.
     """
-    store = frame.where(F.col(store_col) == task.store)
-    fit_rows = F.col(train_flag) if validation_flag is None else F.col(train_flag) | F.col(validation_flag)
-    labelled = store.where(fit_rows & F.col(label).isNotNull())
-    used = [c for c in categorical if c in features]
-    indexers = fit_indexers(labelled.where(F.col(train_flag)), used, params.bins)
-    extra = [c for c in (weight, validation_flag) if c is not None]
-    train = checkpointed(design(labelled, features, indexers).select("features", label, *extra))
-    model = fit_trees(train, params, label, weight, validation_flag)
-    if model_folder is not None:
-        save_model(model, indexers, model_folder, task)
-    scored = score(model, indexers, store.where(F.col(score_flag)), features)
-    return model, scored.select(*keep, "pred").withColumns(
-        {"term": F.lit(task.term), "horizon": F.lit(task.horizon), "store_id": F.lit(task.store)}
-    )
+    known = rows.where(F.col(label).isNotNull())
+    extra = [weight] if weight is not None else []
+    model = fit_trees(known.where("in_train").select("features", label, *extra), params, label, weight)
+    errors: list[float] = []
+    if judge is not None:
+        held = known.where(F.col(judge.flag)).select("id", *KEYS, "d", label, "features")
+        errors = prefix_errors(model, held, judge, store, label)
+        if errors:
+            model = first_trees(model, best_prefix(errors, params.patience))
+    return model, errors

@@ -2,30 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.lags import SINCE, with_since
+
+
+WEEK, MONTH = 7, 28
+
 
 def add_baseline(df: DataFrame, shift: int = 28, window: int = 365, id_col: str = "id") -> DataFrame:
     """Mean of ``window`` days that end ``shift`` days before the row.
 
-    Needs one row per day. Running totals make each row cost the same for any
-    window length: the window sum is the difference of two lagged totals. NULL
-    unless all ``window`` days have a value. Both passes share the partitioning and
-    the sort by (id, d).
+    Needs one row per day. The window is put together from totals of 28 days, which are
+    put together from totals of 7, and the days left over: a few dozen lags per row for a year. Only values inside
+    the window enter, so what lies before it leaves no rounding error behind. NULL unless all ``window`` days
+    have a value and no day is missing. All passes share the partitioning and the sort by (id, d).
     """
     w = Window.partitionBy(id_col).orderBy("d")
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = df.withColumns({"_sum": F.sum("sales").over(running), "_n": F.count("sales").over(running)})
-
-    def window_total(col: str):
-        return F.lag(col, shift).over(w) - F.coalesce(F.lag(col, shift + window).over(w), F.lit(0))
-
-    return df.withColumn(
-        "baseline", F.when(window_total("_n") == window, window_total("_sum") / window)
-    ).drop("_sum", "_n")
+    kept = df.columns
+    df = with_since(df, id_col)
+
+    def at(column: str, offset: int) -> Column:
+        return F.lag(column, offset).over(w) if offset else F.col(column)
+
+    months, rest = divmod(window, MONTH)
+    weeks, days = divmod(rest, WEEK)
+    if months or weeks:
+        df = df.withColumn("_week", _total(at("sales", i) for i in range(WEEK)))
+    if months:
+        df = df.withColumn("_month", _total(at("_week", WEEK * i) for i in range(MONTH // WEEK)))
+    parts = [at("_month", shift + MONTH * i) for i in range(months)]
+    parts += [at("_week", shift + MONTH * months + WEEK * i) for i in range(weeks)]
+    parts += [at("sales", shift + window - 1 - i) for i in range(days)]
+    whole = F.col("d") - (shift + window - 1) >= F.col(SINCE)
+    return df.select(*kept, F.when(whole, _total(parts) / window).alias("baseline"))
+
+
+def _total(columns: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a + b, columns)
 
 
 def add_residual(df: DataFrame) -> DataFrame:

@@ -1,9 +1,7 @@
-"""Training, scoring and interval plans."""
+"""Forecast and interval plans on scored rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,57 +9,7 @@ from shelfcast.operators import intervals as oi
 from shelfcast.operators.backtest import backtest_errors
 from shelfcast.operators.forecast import forecast_wide, retrend, with_suffixes
 from shelfcast.operators.hierarchy import rollup
-from shelfcast.operators.model import Task, TreeParams, model_path, params_for, run_grid, train_and_score
 from shelfcast.schema import HORIZON, KEYS, TAIL_RANKS, TERMS
-from shelfcast.session import table_path
-
-
-def score_grid(
-    frame_for: Callable[[str, int], DataFrame],
-    tasks: Sequence[Task],
-    features_for: Callable[[int], Sequence[str]],
-    categorical: Sequence[str],
-    base: TreeParams,
-    overrides: dict | None = None,
-    weight: str | None = None,
-    validation_flag: str | None = None,
-    model_folder: str | None = None,
-    parallel: int = 4,
-    keep: Sequence[str] = ("id", "d", "baseline", "residual"),
-) -> DataFrame:
-    """Train every (term, horizon, store) and return all predictions as one table (M5, M6).
-
-    A task writes its predictions to the shared folder and lets go of its model, so the driver holds
-    no more models than run side by side; ``model_folder`` keeps them on disk.
-
-    ``frame_for(term, horizon)`` returns a model frame with ``in_train`` and
-    ``in_eval`` flags, normally a table written once per horizon and partitioned by
-    store, so that each fit reads its own partition.
-    """
-    frames = {key: frame_for(*key) for key in dict.fromkeys((t.term, t.horizon) for t in tasks)}
-
-    spark = frames[tasks[0].term, tasks[0].horizon].sparkSession
-    folder = table_path(spark, "scores")
-
-    def work(task: Task) -> str:
-        params = params_for(task.store, base, overrides or {})
-        _, scored = train_and_score(
-            frames[task.term, task.horizon],
-            task,
-            features_for(task.horizon),
-            categorical,
-            params,
-            weight=weight,
-            validation_flag=validation_flag,
-            keep=keep,
-            model_folder=model_folder,
-        )
-        path = model_path(folder, task)
-        scored.write.parquet(path)
-        return path
-
-    # Each path is a table of its own with all columns; folder names are not columns.
-    return spark.read.parquet(*run_grid(tasks, work, parallel))
 
 
 def final_forecast(predictions: DataFrame, last_observed: int) -> DataFrame:
@@ -71,6 +19,19 @@ def final_forecast(predictions: DataFrame, last_observed: int) -> DataFrame:
     return own_day.select("id", h.alias("h"), retrend(F.col("baseline"), F.col("pred")).alias("forecast"))
 
 
+def prediction_rows(scored: DataFrame) -> DataFrame:
+    """Scored rows in the layout of the prediction table (S11): (term, anchor, id, d, pred, target).
+
+    A model of a past term answers for all days of the term, under its horizon as anchor; the future term has
+    no anchor, and only the day that a model is for counts (M5, M6). Predictions and targets are residuals: a baseline that
+    both share leaves their difference as it is.
+    """
+    future = F.col("term") == TERMS[0]
+    return scored.select(
+        "term", F.when(~future, F.col("horizon")).cast("int").alias("anchor"), "horizon", "id", "store_id", "d", "baseline", "pred", F.col("residual").alias("target")
+    )
+
+
 def submission(forecast: DataFrame) -> DataFrame:
     """Wide forecast with both id suffixes (M9)."""
     return with_suffixes(forecast_wide(forecast))

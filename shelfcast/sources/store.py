@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> DataFrame:
@@ -33,12 +34,51 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
     return spark.read.parquet(path).select(*columns)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "id", order: str = "d") -> DataFrame:
-    """Table bucketed by series: later joins and windows by ``key`` need no shuffle."""
-    df.write.bucketBy(buckets, key).sortBy(key, order).mode("overwrite").saveAsTable(table)
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, key: str = "id", order: str = "d", path: str | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Table bucketed by series: joins and windows by ``key`` need no shuffle, and tables of as many buckets meet as they are.
+
+    The rows are dealt to the buckets before they are written, so a bucket is one file per partition value. ``path`` puts
+    the files there and leaves the name to the catalog. An existing table is an error.
+    """
+    writer = df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key, *([order] if order in df.columns else []))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+def write_predictions(df: DataFrame, path: str) -> DataFrame:
+    """Prediction table by (term, anchor); the partitions that ``df`` holds are replaced, the others stay.
+
+    The future term has no anchor: its partition is that of NULL. Readers that filter on term or anchor read those partitions only.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("term", "anchor").parquet(path)
+    return read_predictions(df.sparkSession, path)
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """Predictions (term, anchor, id, d, pred, target and whatever else was written)."""
+    return spark.read.parquet(path).withColumn("anchor", F.col("anchor").cast("int"))
+
+
+WEIGHT_TABLES = ("membership", "scale", "weight")
+
+
+def write_weights(path: str, membership: DataFrame, scale: DataFrame, weight: DataFrame) -> None:
+    """Weight store (S7): one table each, partitioned by store; the stores that a frame holds are replaced, the others stay."""
+    for name, df in zip(WEIGHT_TABLES, (membership, scale, weight)):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store_id").parquet(f"{path}/{name}")
+
+
+def read_weights(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(membership, scale, weight) as written; a filter on ``store_id`` reads its partitions only."""
+    return tuple(spark.read.parquet(f"{path}/{name}").withColumn("store_id", F.col("store_id").cast("string")) for name in WEIGHT_TABLES)
+
+
 def write_forecast(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Forecast table as CSV with a header."""
     df.write.mode(mode).option("header", True).csv(path)

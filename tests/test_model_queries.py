@@ -1,4 +1,4 @@
-"""The model queries train the whole grid on the manifest's features, with the weights of the series."""
+"""The model queries train every store on the manifest's features, with the weights of the series."""
 
 import os
 
@@ -11,23 +11,29 @@ from shelfcast.plans.manifests import feature_columns
 from shelfcast.schema import ANCHORS, TERMS
 
 SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+
+
+class NoTables:
+    store_weights = None
 
 
 def test_grids_hold_every_term_horizon_and_store():
-    (final, p, over, flag), (past, q, past_over, past_flag) = mq.grids(["A", "B"], om.FINAL, om.BACKTEST)
+    (final, p), (past, q) = mq.grids(["A", "B"], NoTables, range(1, 29), ANCHORS, TERMS, om.FINAL, om.BACKTEST)
     assert {(t.term, t.horizon, t.store) for t in final} == {(TERMS[0], h, s) for h in range(1, 29) for s in "AB"}
     assert {(t.term, t.horizon, t.store) for t in past} == {(t, h, s) for t in TERMS[1:] for h in ANCHORS for s in "AB"}
-    assert (p.trees, q.trees, flag, past_flag) == (1500, 1500, None, "in_val")
-    assert (over, past_over) == (om.FINAL_OVERRIDES, om.OVERRIDES)
-
-
-@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
-def test_frame_has_the_manifest_the_stores_and_the_weights(spark):
-    fact = mq.retail_fact(spark, SF)
-    weights = spark.createDataFrame([("x", 2.0)], "id string, train_weight double")
-    for h in (7, 9):
-        frame = mq.weighted_frame(fact, weights, 2000, "public", h)
-        assert {*feature_columns(h), "residual", "baseline", "d", "id", "train_weight", "in_train", "in_val", "in_eval"} <= set(frame.columns)
-        assert len(feature_columns(h)) in (169, 190)
-    stores = fact.select("store_id", "state_id").distinct().where(F.col("store_id") == F.col("state_id"))
-    assert stores.isEmpty()
+    assert (p.params.trees, q.params.trees, p.judge, q.judge.flag) == (1500, 1500, None, "in_eval")
+    assert (p.overrides, q.overrides) == (om.FINAL_OVERRIDES, om.OVERRIDES)
+
+
+def test_fact_and_weights(spark):
+    inputs = mq.Inputs(spark, SF)
+    fact = mq.retail_fact(spark, SF, inputs.leaf)
+    days = fact.groupBy("id").agg(F.count("*").alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi")).collect()
+    assert len(days) > 50 and {(r.n, r.lo, r.hi) for r in days} == {(inputs.last_day + 28, 1, inputs.last_day + 28)}
+    assert fact.select("store_id", "state_id").distinct().where(F.col("store_id") == F.col("state_id")).isEmpty()
+    assert {len(feature_columns(h)) for h in (7, 9)} == {169, 190}
+    total = inputs.store_weights.groupBy("store_id", "level").agg(F.sum("weight").alias("w")).collect()
+    assert {r.store_id for r in total} == {r.store_id for r in inputs.leaf.select("store_id").distinct().collect()}
+    assert all(r.w <= 1 / 12 + 1e-9 for r in total)
+    assert inputs.train_weights.count() == inputs.leaf.select("id").distinct().count()

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from shelfcast.operators import model as om
 from shelfcast.operators.backtest import term_windows
 from shelfcast.operators.encode import encoding_name, term_cutoffs
-from shelfcast.plans.features import build_fact, model_frame
-from shelfcast.plans.forecast import score_grid
+from shelfcast.operators.metrics import wrmsse
+from shelfcast.plans import grid
+from shelfcast.plans.features import build_fact, frame_view, model_frame, write_encodings, write_feature_table, write_series_table
 from shelfcast.plans.manifests import base_manifest, feature_columns, lag_manifest
+from shelfcast.schema import KEYS
 from shelfcast.sources import scan, store
 
 N, FIRST = 520, date(2011, 1, 29)
@@ -94,30 +96,93 @@ def test_model_frame(spark, fact):
     assert got.groupby("id").last_sales.first().max() < cutoffs["public"]
 
 
-def test_grid_of_models(spark, fact, tmp_path):
+@pytest.fixture(scope="module")
+def tables(spark, fact):
+    """Feature table and the series table of one term, bucketed alike."""
     cutoffs = term_cutoffs(N)
+    features = write_feature_table(fact, 4)
+    weights = fact.select("id").distinct().withColumn("train_weight", F.lit(2.0))
+    return features, write_series_table(features, write_encodings(features, cutoffs), "public", cutoffs, 4, weights)
+
+
+@pytest.mark.parametrize("h", [7, 9])
+def test_frame_is_a_view(spark, fact, tables, h):
+    from helpers import executed_plan
+
+    view = frame_view(*tables, h)
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
+    plan = executed_plan(view)
+    assert "Exchange" not in plan and "Python" not in plan and plan.count("Sort [") <= 3
+    pruned = executed_plan(view.where("store_id = 'CA_1'"))
+    assert any("store_id#" in part.split("]")[0] for part in pruned.split("PartitionFilters")[1:])
+    columns = [*base_manifest(), "d", "baseline", *[r.name for r in lag_manifest(h)]]
+    assert view.columns == [*columns[:109], "train_weight", *columns[109:]]
+    want = model_frame(fact, "public", h, term_cutoffs(N)).toPandas().sort_values(["id", "d"]).reset_index(drop=True)
+    got = view.toPandas().sort_values(["id", "d"]).reset_index(drop=True)
+    for c in columns:
+        if got[c].dtype.kind in "fi" or want[c].dtype.kind in "fi":
+            assert np.allclose(got[c].astype(float), want[c].astype(float), equal_nan=True, atol=1e-9), c
+        else:
+            assert (got[c].astype(str) == want[c].astype(str)).all(), c
+
+
+def judge_weights(spark):
+    """Two nodes of each store: its root and one department."""
+    rows = [(level, node, s, 0.5, 2.0) for s in ("CA_1", "TX_1") for level, node in (("LEVEL1", "Total_X"), ("LEVEL5", "FOODS_1_X"))]
+    return spark.createDataFrame(rows, "level string, node string, store_id string, weight double, scale double")
+
+
+def test_grid_resumes(spark, tables, tmp_path):
     a, z = term_windows(N)["public"]
-    frame = model_frame(fact, "public", 7, cutoffs).withColumns(
-        {"in_train": F.col("d") < a, "in_eval": F.col("d").between(a, z), "w": F.lit(2.0)}
-    )
-    features = ["wday", "sell_price", "item_id", *[r.name for r in lag_manifest(7)[:3]]]
-    params = om.TreeParams(step=0.3, trees=2, leaves=3, rows_per_leaf=5, bins=32)
+    seen = []
+
+    def frame(term, h):
+        seen.append((term, h))
+        return frame_view(*tables, h).withColumns({"in_train": F.col("d") < a, "in_eval": F.col("d").between(a, z)})
+
+    names = ["wday", "sell_price", "item_id", "store_id", "event_name_1", *[r.name for r in lag_manifest(7)[:3]]]
+    params = om.TreeParams(step=0.3, trees=3, leaves=3, rows_per_leaf=5, bins=32, patience=1)
+    spec = grid.Spec(lambda h: names, ["wday", "item_id"], params, {"TX_1": {"trees": 4}}, "train_weight", om.Judge("in_eval", judge_weights(spark)))
     tasks = om.model_grid(["public"], [7], ["CA_1", "TX_1"])
-    scored = score_grid(
-        lambda t, h: frame, tasks, lambda h: features, ["wday", "item_id"], params, {"TX_1": {"trees": 3}},
-        weight="w", model_folder=str(tmp_path), parallel=2,
-    )
-    rows = scored.toPandas()
-    assert len(rows) == 2 * 3 * 28 and rows.pred.notna().all()
-    assert set(rows.store_id) == {"CA_1", "TX_1"}
-    again, indexers = om.load_model(str(tmp_path), tasks[1])
-    assert again.getNumTrees == 3
-    store_rows = frame.where((F.col("store_id") == "TX_1") & F.col("in_eval"))
-    loaded = om.score(again, indexers, store_rows, features).toPandas().set_index(["id", "d"]).pred
-    first = rows[rows.store_id == "TX_1"].set_index(["id", "d"]).pred
-    assert np.allclose(loaded.sort_index(), first.sort_index())
-    imp = om.importances(spark, again, features).collect()
-    assert len(imp) == len(features) and sum(r.importance for r in imp) == pytest.approx(1)
+    folder = str(tmp_path)
+    assert grid.run(spark, folder, tasks[:1], spec, frame, 2) == tasks[:1]
+    assert grid.run(spark, folder, tasks, spec, frame, 2) == tasks[1:]
+    rows = grid.scores(spark, folder, tasks, spec).toPandas()
+    assert len(rows) == 2 * 3 * 28 and rows.pred.notna().all() and set(rows.store_id) == {"CA_1", "TX_1"}
+    imp = grid.importances(spark, folder, tasks, spec).collect()
+    assert len(imp) == 2 * len(names) and sum(r.importance for r in imp) == pytest.approx(2)
+
+    before = len(seen)
+    assert grid.run(spark, folder, tasks, spec, frame, 2) == [] and len(seen) == before
+    again = grid.scores(spark, folder, tasks, spec).toPandas()
+    assert (again.sort_values(["id", "d"]).pred.values == rows.sort_values(["id", "d"]).pred.values).all()
+    other = grid.Spec(lambda h: names, ["wday", "item_id"], om.TreeParams(step=0.1, trees=2, leaves=3, rows_per_leaf=5, bins=32), {}, "train_weight")
+    assert grid.pending(spark, folder, tasks, other) == tasks
+
+    kept = {r.store_id: r for r in grid.open_ledger(spark, folder).collect()}
+    for t in tasks:
+        model = om.load_model(f"{folder}/models", t)
+        assert model.getNumTrees == kept[t.store].trees == om.best_prefix(kept[t.store].wrmsse, 1)
+        assert len(kept[t.store].wrmsse) == (4 if t.store == "TX_1" else 3)
+
+
+def test_wrmsse_of_every_prefix(spark, tables):
+    """Place k of the array is the WRMSSE of the first k + 1 trees, as the plain operator has it."""
+    a, z = term_windows(N)["public"]
+    frame = frame_view(*tables, 7).where("store_id = 'CA_1'").withColumns({"in_train": F.col("d") < a, "in_eval": F.col("d").between(a, z)})
+    rows = om.design(frame.where("residual IS NOT NULL"), ["wday", "sell_price", "shift_7"]).cache()
+    model = om.fit_trees(rows.where("in_train").select("features", "residual"), om.TreeParams(step=0.4, trees=4, leaves=7, rows_per_leaf=5, bins=32))
+    held = rows.where("in_eval")
+    judge = om.Judge("in_eval", judge_weights(spark))
+    errors = om.prefix_errors(model, held.select("id", *KEYS, "d", "residual", "features"), judge, "CA_1")
+    weights = judge.weights.where("store_id = 'CA_1'").drop("store_id")
+    assert len(errors) == 4 and len(set(errors)) > 1
+    for k in range(1, 5):
+        scored = om.first_trees(model, k).transform(held).withColumn("err", F.col("pred") - F.col("residual"))
+        plain = {r.level: r.wrmsse for r in wrmsse(scored.select("id", *KEYS, "d", "err"), weights).collect()}
+        assert errors[k - 1] == pytest.approx(plain["all"], rel=1e-9)
+    staged = om.staged_predictions(model, held).select("staged", "features").join(model.transform(held).select("features", "pred"), "features").collect()
+    assert all(r.staged[-1] == pytest.approx(r.pred, rel=1e-12) for r in staged)
 
 
 def test_wide_and_unseen_labels(spark):
@@ -137,22 +202,6 @@ def test_best_prefix_has_patience():
     assert om.best_prefix(errors, 2) == 2
 
 
-def test_validation_does_not_cut_a_slow_learner(spark):
-    rng = np.random.default_rng(0)
-    x = rng.normal(size=(600, 2))
-    y = 3 * x[:, 0] + rng.normal(size=600) * 2
-    rows = spark.createDataFrame(pd.DataFrame({"x0": x[:, 0], "x1": x[:, 1], "residual": y, "held": np.arange(600) % 3 == 0}))
-    params = om.TreeParams(step=0.05, trees=12, leaves=7, rows_per_leaf=5, bins=32, feature_fraction=1.0)
-    frame = om.design(rows, ["x0", "x1"])
-    model = om.fit_trees(frame, params, validation_flag="held")
-    assert model.getNumTrees > 6
-    short = om.first_trees(model, 2)
-    assert short.getNumTrees == 2 and short.treeWeights == model.treeWeights[:2]
-    errors = model.evaluateEachIteration(frame.withColumn("label", F.col("residual")), "squared")
-    pred = short.transform(frame).toPandas()
-    assert ((pred.pred - pred.residual) ** 2).mean() == pytest.approx(errors[1])
-
-
 def test_parameters():
     with pytest.raises(ValueError):
         om.TreeParams(leaves=2**32).depth

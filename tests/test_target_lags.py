@@ -85,3 +85,54 @@ def test_one_shuffle_for_all_strides(spark):
     plan = executed_plan(ol.add_rolls(rows, lag_manifest(9)))
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
     assert "Python" not in plan
+
+
+def gapped(spark):
+    """One series with day 40 missing and day 90 twice, one whole one."""
+    df = residual_frame(False)
+    df = df[df.id.isin(df.id.unique()[1:3])]
+    first = df.id.iloc[0]
+    broken = pd.concat([df[~((df.id == first) & (df.d == 40))], df[(df.id == first) & (df.d == 90)]])
+    rows = spark.createDataFrame(broken.astype(object).where(broken.notna(), None), "id string, d long, residual double")
+    return df, first, rows
+
+
+def test_no_value_reaches_over_a_gap(spark):
+    df, first, rows = gapped(spark)
+    rolls = [ol.lag(1), ol.lag(7), ol.Roll(1, 7, "mean", 2), ol.Roll(7, 3, "max", 1), ol.Roll(1, 30, "std", 3), ol.Roll(1, 7, "median", 1), ol.Roll(2, 3, "mean", 4)]
+    plan = executed_plan(ol.add_rolls(rows, rolls))
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    got = ol.add_rolls(rows, rolls).toPandas()
+    whole = ol.add_rolls(spark.createDataFrame(df.astype(object).where(df.notna(), None), "id string, d long, residual double"), rolls).toPandas()
+    for roll in rolls:
+        reach = roll.shift + (roll.window - 1) * roll.stride
+        for r, g in got[got.id == first].groupby("d"):
+            crosses = r - reach <= 40 < r or r - reach < 90 <= r if reach else False
+            want = whole[(whole.id == first) & (whole.d == r)][roll.name].iloc[0]
+            values = g[roll.name].astype(float)
+            if crosses and r != 90:
+                assert values.isna().all(), (roll, r)
+            elif r != 90:
+                assert np.allclose(values, want, equal_nan=True), (roll, r)
+        assert close(got[got.id != first].sort_values("d")[roll.name], whole[whole.id != first].sort_values("d")[roll.name])
+
+
+def test_table_of_statistics_gives_every_lag_column(spark):
+    _, _, rows = gapped(spark)
+    table = ol.with_statistics(rows)
+    for h in (7, 9):
+        a = ol.moved_rolls(table, lag_manifest(h)).toPandas().sort_values(["id", "d"]).reset_index(drop=True)
+        b = ol.add_rolls(rows, lag_manifest(h)).toPandas().sort_values(["id", "d"]).reset_index(drop=True)
+        assert list(a.columns) == list(b.columns)
+        for c in a.columns[3:]:
+            ok = ~a.d.isin([90])
+            assert np.allclose(a[c][ok].astype(float), b[c][ok].astype(float), equal_nan=True), c
+
+
+def test_what_lies_before_the_window_leaves_no_error(spark):
+    values = [1e17 if d <= 30 else 0.1 for d in range(1, 501)]
+    rows = spark.createDataFrame([("a", d, v) for d, v in enumerate(values, 1)], "id string, d int, sales double")
+    got = {r.d: r.baseline for r in ot.add_baseline(rows).collect()}
+    assert all(got[d] == pytest.approx(0.1, rel=1e-13) for d in range(30 + 28 + 365, 501))
+    holed = ot.add_baseline(rows.where("d <> 300"), shift=5, window=40).collect()
+    assert {r.d for r in holed if r.baseline is None} == {*range(1, 45), *range(301, 345)}
