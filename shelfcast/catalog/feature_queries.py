@@ -13,10 +13,12 @@ from shelfcast.operators import lags as ol
 from shelfcast.operators import price as op
 from shelfcast.operators import reshape as orr
 from shelfcast.operators import target as ot
-from shelfcast.operators.encode import encode, encoding_name, join_encodings, term_cutoffs
+from shelfcast.operators.encode import PARTS, encode, encoding_name, join_encodings, term_cutoffs
 from shelfcast.operators.hierarchy import node_label
-from shelfcast.plans.manifests import lag_manifest
-from shelfcast.schema import ENCODED_LEVELS
+from shelfcast.plans.manifests import encoding_columns, lag_manifest
+from shelfcast.schema import ENCODED_LEVELS, KEYS
+from shelfcast.session import table_path
+from shelfcast.sources import scan, store
 
 FIRST_DATE = "DATE '1995-01-02'"
 
@@ -109,16 +111,24 @@ def serial_key(spark, sf):
       UNION ALL SELECT 'l_suppkey', min(l_suppkey), max(l_suppkey) FROM lineitem
       UNION ALL SELECT 'l_partkey', min(l_partkey), max(l_partkey) FROM lineitem
       UNION ALL SELECT 'l_orderkey', min(l_orderkey), max(l_orderkey) FROM lineitem
-      UNION ALL SELECT 'l_extendedprice', min(l_extendedprice), max(l_extendedprice) FROM lineitem)
-    SELECT "column", CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi,
-      CASE WHEN lo > -128 AND hi < 127 THEN 'tinyint' WHEN lo > -32768 AND hi < 32767 THEN 'smallint'
-           WHEN lo > -2147483648 AND hi < 2147483647 THEN 'int' ELSE 'bigint' END AS narrow FROM s""",
+      UNION ALL SELECT 'l_extendedprice', min(l_extendedprice), max(l_extendedprice) FROM lineitem),
+    t AS (UNPIVOT (SELECT sum(l_quantity)::BIGINT AS l_quantity, sum(l_linenumber)::BIGINT AS l_linenumber, sum(l_suppkey)::BIGINT AS l_suppkey,
+      sum(l_partkey)::BIGINT AS l_partkey, sum(l_orderkey)::BIGINT AS l_orderkey, sum(floor(l_extendedprice::FLOAT))::BIGINT AS l_extendedprice FROM lineitem)
+      ON COLUMNS(*) INTO NAME "column" VALUE total)
+    SELECT "column", CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, total,
+      CASE WHEN "column" IN ('l_quantity', 'l_extendedprice') THEN 'float' WHEN lo > -128 AND hi < 127 THEN 'tinyint'
+           WHEN lo > -32768 AND hi < 32767 THEN 'smallint' WHEN lo > -2147483648 AND hi < 2147483647 THEN 'int' ELSE 'bigint' END AS narrow
+    FROM s JOIN t USING ("column")""",
 )
 def narrow_types(spark, sf):
-    """Column ranges and the narrowest whole-number type that holds them."""
+    """The columns cast to the narrowest types that hold them; types and totals are read off the cast frame."""
     columns = ["l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_orderkey", "l_extendedprice"]
-    ranges = orr.column_ranges(r.table(spark, sf, "lineitem"), columns)
-    return ranges.withColumn("narrow", orr.narrow_class(F.col("lo"), F.col("hi")))
+    lines = r.table(spark, sf, "lineitem").select(*columns)
+    cast = orr.narrow_types(lines)
+    exact = {c: F.floor(c) if c == "l_extendedprice" else F.col(c) for c in columns}
+    totals = cast.agg(*[F.sum(v.cast("long")).alias(c) for c, v in exact.items()])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("narrow"), F.col(c).alias("total")) for c, t in cast.dtypes]
+    return orr.column_ranges(lines, columns).join(totals.select(F.explode(F.array(*rows)).alias("x")).select("x.*"), "column")
 
 
 @query(
@@ -256,22 +266,30 @@ def date_parts(spark, sf):
     ).drop("date")
 
 
-def _sql_spans(spans):
-    return " OR ".join(f"d BETWEEN {a} AND {b}" for a, b in spans)
+# Dates of the events, from a calendar: the check does not share the day numbers of the operator. Day 1 is 2011-01-29.
+FINALS = "2011-05-31 2011-06-12 2012-06-12 2012-06-21 2013-06-06 2013-06-20 2014-06-05 2014-06-15 2015-06-04 2015-06-16 2016-06-02 2016-06-19"
+FASTING = "2011-08-01 2011-08-30 2012-07-20 2012-08-18 2013-07-09 2013-08-07 2014-06-29 2014-07-28 2015-06-18 2015-07-17 2016-06-07 2016-06-19"
+MOTHERS = "2011-05-08 2012-05-13 2013-05-12 2014-05-11 2015-05-10 2016-05-08"
+ORTHODOX = "2011-04-24 2012-04-15 2013-05-05 2014-04-20 2015-04-12 2016-05-01"
+WESTERN = "2011-04-24 2012-04-08 2013-03-31 2014-04-20 2015-04-05 2016-03-27"
 
 
-def _sql_eve(days):
-    listed = ", ".join(map(str, days))
-    eves = ", ".join(str(x - 1) for x in days)
-    return f"CASE WHEN d IN ({listed}) THEN 1 WHEN d IN ({eves}) THEN 2 ELSE 0 END"
+def _sql_spans(dates):
+    pairs = dates.split()
+    spans = " OR ".join(f"on_day BETWEEN DATE '{a}' AND DATE '{z}'" for a, z in zip(pairs[::2], pairs[1::2]))
+    return f"CASE WHEN {spans} THEN 1 ELSE 0 END"
+
+
+def _sql_eve(dates):
+    listed = ", ".join(f"DATE '{x}'" for x in dates.split())
+    return f"CASE WHEN on_day IN ({listed}) THEN 1 WHEN on_day + 1 IN ({listed}) THEN 2 ELSE 0 END"
 
 
 @query(
     "event_flags",
-    f"""WITH {SQL_CAL} SELECT d, units, CASE WHEN {_sql_spans(fc.FINALS_SPANS)} THEN 1 ELSE 0 END AS NBA_finals,
-    CASE WHEN {_sql_spans(fc.FASTING_SPANS)} THEN 1 ELSE 0 END AS Ramadan_Starts,
-    {_sql_eve(fc.MOTHERS_DAYS)} AS Mothers_day, {_sql_eve(fc.ORTHODOX_EASTER_DAYS)} AS OrthodoxEaster,
-    {_sql_eve(fc.EASTER_DAYS)} AS Easter FROM cal""",
+    f"""WITH {SQL_CAL}, a AS (SELECT d, units, DATE '2011-01-28' + CAST(d AS INTEGER) AS on_day FROM cal)
+    SELECT d, units, {_sql_spans(FINALS)} AS NBA_finals, {_sql_spans(FASTING)} AS Ramadan_Starts,
+    {_sql_eve(MOTHERS)} AS Mothers_day, {_sql_eve(ORTHODOX)} AS OrthodoxEaster, {_sql_eve(WESTERN)} AS Easter FROM a""",
 )
 def event_flags(spark, sf):
     """day-number event flags."""
@@ -674,11 +692,11 @@ def encoding_fact(spark, sf):
     return oc.join_calendar(r.leaf_sales(spark, sf), cal)
 
 
-def encodings(spark, sf, levels=ENCODED_LEVELS, terms=None):
+def encodings(spark, sf, part, terms=None):
     cutoffs = term_cutoffs(r.last_day(spark, sf))
     if terms is not None:
         cutoffs = {t: cutoffs[t] for t in terms}
-    return encode(encoding_fact(spark, sf), cutoffs, value="sales", price=None, levels=levels)
+    return encode(encoding_fact(spark, sf), cutoffs, value="sales", price=None, parts={part: PARTS[part]})
 
 
 SQL_ENC = f"""{r.SQL_LEAF},
@@ -704,7 +722,7 @@ def _round_enc(df):
 
 def _register_encoding(name, part, doc):
     def run(spark, sf):
-        return _round_enc(encodings(spark, sf, terms=["private"]).where(F.col("part") == part))
+        return _round_enc(encodings(spark, sf, part, ["private"]))
 
     run.__doc__ = doc
     query(name, f"WITH {SQL_ENC} SELECT 'private' AS term, * FROM ({_enc_sql(part)})")(run)
@@ -724,25 +742,95 @@ _register_encoding("encode_level_dom", "dom", "A4, A5: mean and deviation per le
 )
 def encode_cutoffs(spark, sf):
     """The same encodings under four cut-offs, from one scan."""
-    return _round_enc(encodings(spark, sf).where(F.col("part") == "all"))
+    return _round_enc(encodings(spark, sf, "all"))
+
+
+def type_target(spark, sf):
+    """Dense days of every store and part type with residual, weekly price, weekday and day of the month."""
+    leaf = r.type_sales(spark, sf)
+    rows = orr.dense_days(leaf.select("id", *KEYS, "d", "sales"), 1, r.last_day(spark, sf), keep=KEYS)
+    rows = ot.add_residual(ot.add_baseline(rows))
+    prices = r.weekly_prices(spark, sf, leaf).select("store_id", "item_id", "wm_yr_wk", "sell_price")
+    rows = op.join_prices(rows.withColumn("wm_yr_wk", F.floor((F.col("d") - 1) / 7).cast("int")), prices)
+    return oc.join_calendar(rows, calendar(spark, sf).select("d", "wday", "day"))
+
+
+SQL_TYPES = f"""{r.SQL_LEAF},
+types AS (SELECT cat_id || '_' || store_id AS id, state_id, store_id, cat_id, cat_id AS dept_id, cat_id AS item_id, d,
+  sum(sales) AS sales, sum(cents) AS cents FROM leaf GROUP BY ALL),
+tdense AS (SELECT s.*, d, coalesce(sales, 0) AS sales FROM (SELECT DISTINCT id, state_id, store_id, cat_id, dept_id, item_id FROM types) s
+  CROSS JOIN (SELECT unnest(range(1, (SELECT max(d) FROM types) + 1)) AS d) LEFT JOIN (SELECT id, d, sales FROM types) x USING (id, d)),
+tprice AS (SELECT store_id, item_id, CAST(floor((d - 1) / 7) AS INTEGER) AS w, (sum(cents) // CAST(sum(sales) AS BIGINT)) / 100 AS sell_price FROM types GROUP BY ALL),
+tbase AS (SELECT *, CASE WHEN count(sales) OVER b = 365 THEN sum(sales) OVER b / 365 END AS baseline FROM tdense
+  WINDOW b AS (PARTITION BY id ORDER BY d ROWS BETWEEN 392 PRECEDING AND 28 PRECEDING)),
+tfact AS (SELECT t.*, sales - baseline AS residual, sell_price, (SELECT max(d) FROM types) AS hi,
+  CAST((dayofweek(DATE '{r.EPOCH}' + CAST(t.d AS INTEGER)) + 1) % 7 + 1 AS INTEGER) AS wday, CAST(day(DATE '{r.EPOCH}' + CAST(t.d AS INTEGER)) AS INTEGER) AS day
+  FROM tbase t LEFT JOIN tprice p ON p.store_id = t.store_id AND p.item_id = t.item_id AND p.w = CAST(floor((t.d - 1) / 7) AS INTEGER))"""
+
+
+def _encode_join_sql():
+    joins, sums = [], []
+    for part, extra in (("all", ""), ("wday", "wday"), ("dom", "day")):
+        for level, keys in ENCODED_LEVELS.items():
+            name, by = f"e_{part}_{level}", [*keys, *([extra] if extra else [])]
+            on = " AND ".join(f"{name}.{k} = y.{k}" for k in by)
+            joins.append(f"LEFT JOIN (SELECT {', '.join(by)}, avg(y) AS mean, stddev_samp(y) AS std FROM y GROUP BY ALL) {name} ON {on}")
+            sums += [f"round(sum({name}.{fn}), 3) AS {encoding_name(part, level, fn)}" for fn in ("mean", "std")]
+    return f"""WITH {SQL_TYPES}, y AS (SELECT *, CASE WHEN sell_price >= 0 AND d < hi - 27 THEN residual END AS y FROM tfact)
+    SELECT y.id, count(*) AS n_days, {', '.join(sums)} FROM y {' '.join(joins)} GROUP BY y.id"""
+
+
+@query("encode_join", _encode_join_sql())
+def encode_join(spark, sf):
+    """All 66 encodings of the residual of one term, masked by price, looked up for every day and summed per series."""
+    path = table_path(spark, "type-target")
+    fact = store.write_table(type_target(spark, sf), path)
+    cutoffs = {"public": term_cutoffs(r.last_day(spark, sf))["public"]}
+    rows = join_encodings(fact, fact.select("id", *KEYS).distinct(), encode(fact, cutoffs), "public")
+    names = encoding_columns()
+    return rows.groupBy("id").agg(F.count("*").alias("n_days"), *[F.round(F.sum(n), 3).alias(n) for n in names])
+
+
+# ---------------------------------------------------------------- ingest
+
+
+WIDE_DAYS = 420
 
 
-JOINED_LEVELS = {k: ENCODED_LEVELS[k] for k in ("LEVEL3", "LEVEL7", "LEVEL11")}
+def wide_lines(spark, sf):
+    """The daily sales of the store and part-type series as lines of a wide CSV file, every 97th cell damaged."""
+    leaf = r.type_sales(spark, sf).where(F.col("d") <= WIDE_DAYS)
+    dense = orr.dense_days(leaf.select("id", *KEYS, "d", "sales"), 1, WIDE_DAYS, keep=KEYS)
+    cell = F.when(F.pmod(F.crc32("id") + 13 * F.col("d"), F.lit(97)) == 0, F.concat(F.lit("?"), F.col("sales").cast("int")))
+    text = dense.select("id", *KEYS, "d", F.coalesce(cell, F.col("sales").cast("int").cast("string")).alias("text"))
+    return orr.pivot_first(text, ["id", *KEYS], "d", "text", range(1, WIDE_DAYS + 1), "d_")
+
+
+def crc32_sql(x):
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)), "
+        "lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda s, k: CASE WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END)))"
+    )
 
 
 @query(
-    "encode_join",
-    f"""WITH {SQL_ENC}, y AS (SELECT *, CASE WHEN d < hi - 27 THEN sales END AS y FROM enc),
-    e AS (SELECT id, d, avg(y) OVER (PARTITION BY store_id) AS a, avg(y) OVER (PARTITION BY state_id, dept_id, wday) AS b,
-                 stddev_samp(y) OVER (PARTITION BY state_id, item_id, day) AS c FROM y)
-    SELECT id, CAST(d AS INTEGER) AS d, round(a, 4) AS {encoding_name('all', 'LEVEL3', 'mean')},
-      round(b, 4) AS {encoding_name('wday', 'LEVEL7', 'mean')}, round(c, 4) AS {encoding_name('dom', 'LEVEL11', 'std')} FROM e""",
-)
-def encode_join(spark, sf):
-    """Encodings of one term looked up for every fact row."""
-    enc = encodings(spark, sf, JOINED_LEVELS, ["public"])
-    fact = join_encodings(encoding_fact(spark, sf), r.leaf_series(spark, sf), enc, "public", JOINED_LEVELS)
-    names = [
-        encoding_name("all", "LEVEL3", "mean"), encoding_name("wday", "LEVEL7", "mean"), encoding_name("dom", "LEVEL11", "std")
-    ]
-    return fact.select("id", "d", *[F.round(n, 4).alias(n) for n in names])
+    "ingest_wide",
+    f"""WITH {SQL_TYPES}, c AS (SELECT id, {crc32_sql("id")} AS h FROM (SELECT DISTINCT id FROM types WHERE d <= {WIDE_DAYS})),
+    cell AS (SELECT c.id, g.d, coalesce(x.sales, 0) AS sales, (c.h + 13 * g.d) % 97 = 0 AS bad FROM c
+      CROSS JOIN (SELECT unnest(range(1, {WIDE_DAYS + 1})) AS d) g LEFT JOIN types x ON x.id = c.id AND x.d = g.d)
+    SELECT id, count(*) AS n_days, sum(CASE WHEN NOT bad THEN sales END)::BIGINT AS sales, count(CASE WHEN bad THEN 1 END) AS n_rejected,
+      coalesce(string_agg(CASE WHEN bad THEN 'd_' || d || '=?' || CAST(sales AS INTEGER) END, ' ' ORDER BY d), '') AS rejected FROM cell GROUP BY id""",
+)
+def ingest_wide(spark, sf):
+    """A wide matrix is written, scanned by its header and melted; cells that are no numbers go to a table of rejects."""
+    path = table_path(spark, "wide")
+    wide_lines(spark, sf).write.option("header", True).csv(path)
+    good, rejects = scan.read_sales_wide_checked(spark, path)
+    rejects = store.write_table(rejects, table_path(spark, "rejects"))
+    days = scan.day_columns(good)
+    facts = orr.melt_days(good, ["id"], days).groupBy("id").agg(F.count("*").alias("n_days"), F.sum("sales").cast("long").alias("sales"))
+    texts = F.array_sort(F.collect_list(F.struct(F.substring("column", 3, 9).cast("int").alias("d"), "column", "text")))
+    said = F.array_join(F.transform(texts, lambda x: F.concat(x["column"], F.lit("="), x["text"])), " ")
+    per_id = rejects.groupBy("id").agg(F.count("*").alias("n_rejected"), said.alias("rejected"))
+    return facts.join(per_id, "id", "left").na.fill({"n_rejected": 0, "rejected": ""})

@@ -6,6 +6,7 @@ import os
 import uuid
 from datetime import date, timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfcast.catalog import retail as r
@@ -15,8 +16,11 @@ from shelfcast.operators import backtest as ob
 from shelfcast.operators import forecast as of
 from shelfcast.operators import hierarchy as oh
 from shelfcast.operators import intervals as oi
+from shelfcast.operators import lags as ol
+from shelfcast.plans.forecast import final_forecast as plan_final
+from shelfcast.plans.forecast import intervals, submission
 from shelfcast.schema import ANCHORS, HORIZON, LEVELS, TAIL_RANKS, TERMS
-from shelfcast.session import shared_folder
+from shelfcast.session import shared_folder, table_path
 from shelfcast.sources import scan, store
 
 N_DAYS = HORIZON * (len(TERMS) - 1)
@@ -269,13 +273,29 @@ def submission_half(spark, sf):
     return of.only_suffix(of.with_suffixes(of.forecast_wide(dense_forecast(spark, sf))), "evaluation")
 
 
+SQL_NODE_GRID = f"""all_nodes AS ({r.sql_nodes('leaf', 'count(*) AS n', '', LEVELS)}),
+node_grid AS (SELECT level, node, h FROM all_nodes, (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h))"""
+
+
+def node_forecast(spark, sf):
+    """Point forecasts of every node and day; a node's day without a leaf forecast is a forecast of zero."""
+    sums = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
+    grid = all_nodes(spark, sf).select("level", "node", F.explode(F.sequence(F.lit(1), F.lit(HORIZON))).alias("h"))
+    return of.on_grid(sums, grid, ("level", "node", "h"))
+
+
+def all_nodes(spark, sf):
+    return oh.rollup(r.leaf_series(spark, sf).withColumn("n", F.lit(1)), ["n"], leaf_rows=True).select("level", "node")
+
+
 @query(
     "rollup_forecast",
-    f"""WITH {r.SQL_LEAF}, {SQL_FC} {r.sql_nodes('fc', 'h, round(sum(forecast), 6) AS forecast', 'h', LEVELS)}""",
+    f"""WITH {r.SQL_LEAF}, {SQL_FC}, {SQL_NODE_GRID}, f AS ({r.sql_nodes('fc', 'h, sum(forecast) AS forecast', 'h', LEVELS)})
+    SELECT level, node, h, round(coalesce(forecast, 0), 6) AS forecast FROM node_grid LEFT JOIN f USING (level, node, h)""",
 )
 def rollup_forecast(spark, sf):
-    """Point forecasts of every node."""
-    return oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True).withColumn("forecast", F.round("forecast", 6))
+    """Point forecasts of every node and day."""
+    return node_forecast(spark, sf).withColumn("forecast", F.round("forecast", 6))
 
 
 @query(
@@ -286,8 +306,6 @@ def rollup_forecast(spark, sf):
 )
 def retrend(spark, sf):
     """M8: baseline plus predicted residual; the prediction is last month's weekly mean."""
-    from shelfcast.operators import lags as ol
-
     roll = ol.Roll(1, 7, "mean", 28)
     rows = ol.add_rolls(target(spark, sf), [roll])
     return rows.select("id", "d", F.round(of.retrend(F.col("baseline"), F.col(roll.name)), 4).alias("forecast"))
@@ -331,10 +349,12 @@ def missing_ids(spark, sf):
 
 SQL_INTERVAL = f"""{SQL_NODE_ERR}, {SQL_FC},
 node_fc AS ({r.sql_nodes('fc', 'h, sum(forecast) AS forecast', 'h', LEVELS)}),
+{SQL_NODE_GRID},
+full_fc AS (SELECT level, node, h, coalesce(forecast, 0) AS forecast FROM node_grid LEFT JOIN node_fc USING (level, node, h)),
 joined AS (
   SELECT f.level, f.node, f.h, f.forecast, coalesce(h.hw_005, 0) AS hw_005, coalesce(h.hw_025, 0) AS hw_025,
          coalesce(h.hw_165, 0) AS hw_165, coalesce(h.hw_250, 0) AS hw_250
-  FROM node_fc f LEFT JOIN half h ON h.level = f.level AND h.node = f.node AND h.anchor =
+  FROM full_fc f LEFT JOIN half h ON h.level = f.level AND h.node = f.node AND h.anchor =
     CASE WHEN f.h <= 4 THEN 1 WHEN f.h <= 11 THEN 7 WHEN f.h <= 18 THEN 14 WHEN f.h <= 25 THEN 21 ELSE 28 END),
 quantiles AS (
   SELECT level, node, h, unnest([0.005, 0.025, 0.165, 0.25, 0.5, 0.75, 0.835, 0.975, 0.995]) AS q,
@@ -348,21 +368,17 @@ quantiles AS (
     f"""WITH {SQL_INTERVAL} SELECT level, node, h, CAST(q AS DOUBLE) AS q, {r.sql_rounded('value')} AS value FROM quantiles""",
 )
 def interval_quantiles(spark, sf):
-    """Nine quantiles per node and horizon; nodes without a forecast row have none."""
-    nodes = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
-    return oi.interval_rows(nodes, half(spark, sf)).withColumn("value", r.rounded("value"))
+    """Nine quantiles of every node and horizon."""
+    return oi.interval_rows(node_forecast(spark, sf), half(spark, sf)).withColumn("value", r.rounded("value"))
 
 
 def dense_node_forecast(spark, sf):
     """Wide point forecasts of every node of the series; a horizon without a row is a forecast of zero."""
     forecast = oh.rollup(weekday_forecast(spark, sf), ["forecast"], by=["h"], leaf_rows=True)
-    nodes = oh.rollup(r.leaf_series(spark, sf).withColumn("n", F.lit(1)), ["n"], leaf_rows=True).select("level", "node")
-    return nodes.join(of.forecast_wide(forecast, index=("level", "node")), ["level", "node"], "left").na.fill(0.0)
+    return all_nodes(spark, sf).join(of.forecast_wide(forecast, index=("level", "node")), ["level", "node"], "left").na.fill(0.0)
 
 
-@query(
-    "interval_layout",
-    f"""WITH {SQL_INTERVAL}, nodes AS ({r.sql_nodes('leaf', 'count(*) AS n', '', LEVELS)}),
+SQL_LAYOUT = f"""WITH {SQL_INTERVAL}, nodes AS ({r.sql_nodes('leaf', 'count(*) AS n', '', LEVELS)}),
     grid AS (SELECT level, node, h FROM nodes, (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h)),
     full_q AS (
       SELECT g.level, g.node, g.h, coalesce(f.forecast, 0) AS p, coalesce(x.hw_005, 0) AS a, coalesce(x.hw_025, 0) AS b,
@@ -374,14 +390,67 @@ def dense_node_forecast(spark, sf):
       unnest([greatest(p - a, 0), greatest(p - b, 0), greatest(p - c, 0), greatest(p - e, 0), p, p + e, p + c, p + b, p + a]) AS value FROM full_q),
     wide AS (SELECT node, q, {', '.join(f'{r.sql_rounded(f"sum(CASE WHEN h = {h} THEN value END)")} AS F{h}' for h in range(1, 29))} FROM long GROUP BY 1, 2)
     SELECT node || '_' || q || '_' || s AS id, {', '.join(f'F{h}' for h in range(1, 29))}
-    FROM wide, (SELECT unnest(['evaluation', 'validation']) AS s)""",
-)
+    FROM wide, (SELECT unnest(['evaluation', 'validation']) AS s)"""
+
+
+@query("interval_layout", SQL_LAYOUT)
 def interval_layout(spark, sf):
     """Nine quantiles and two suffixes per node, F1..F28."""
     wide = oi.interval_layout(dense_node_forecast(spark, sf), half(spark, sf))
     return wide.select("id", *[r.rounded(c).alias(c) for c in of.horizon_columns()])
 
 
+def naive_predictions(spark, sf):
+    """Rows for the prediction table: the past terms under their anchors, the future term without one."""
+    keys = ["term", "anchor", "id", "d", "pred", "target"]
+    past = naive_errors(spark, sf).select(*keys)
+    future = weekday_forecast(spark, sf).select(
+        F.lit(TERMS[0]).alias("term"), F.lit(None).cast("int").alias("anchor"), "id", (F.col("h") + r.last_day(spark, sf)).alias("d"),
+        F.col("forecast").alias("pred"), F.lit(None).cast("double").alias("target"),
+    )
+    return past.unionByName(future)
+
+
+@query("backtest_chain", SQL_LAYOUT)
+def backtest_chain(spark, sf):
+    """Predictions are stored by (term, anchor), one term is written again, and the intervals of all nodes are read off the table."""
+    path = table_path(spark, "predictions")
+    rows = store.write_table(naive_predictions(spark, sf), table_path(spark, "scored"))
+    # A first, wrong version of one term: the right one replaces its partitions and leaves the others.
+    store.write_predictions(rows.withColumn("pred", F.when(F.col("term") == TERMS[1], F.col("pred") + 1).otherwise(F.col("pred"))), path)
+    table = store.write_predictions(rows.where(F.col("term") == TERMS[1]), path)
+    series = r.leaf_series(spark, sf)
+    future = table.where(F.col("term") == TERMS[0]).select("id", (F.col("d") - r.last_day(spark, sf)).alias("h"), F.col("pred").alias("forecast"))
+    wide = intervals(table.where(F.col("anchor").isNotNull()), future, series)
+    return wide.select("id", *[r.rounded(c).alias(c) for c in of.horizon_columns()])
+
+
+@query(
+    "final_forecast",
+    f"""WITH {r.SQL_TARGET}, m AS (SELECT id, avg(residual) AS m, max(hi) AS hi FROM target, bounds WHERE d > hi - 7 GROUP BY id),
+    p AS (SELECT m.id, h, sum(x.sales) / 365 + max(m) AS forecast FROM m CROSS JOIN (SELECT CAST(unnest(range(1, 29)) AS INTEGER) AS h) g
+      JOIN dense x ON x.id = m.id AND x.d BETWEEN m.hi + h - 392 AND m.hi + h - 28 GROUP BY m.id, h),
+    l AS (SELECT id, {', '.join(f'{r.sql_rounded(f"sum(CASE WHEN h = {h} THEN forecast END)")} AS F{h}' for h in range(1, 29))} FROM p GROUP BY id)
+    SELECT id || '_' || s AS id, {', '.join(f'F{h}' for h in range(1, 29))} FROM l, (SELECT unnest(['validation', 'evaluation']) AS s)""",
+)
+def final_forecast(spark, sf):
+    """M5, M8, M9: of 28 models that each score all future days, only the day a model is for counts; re-trended, pivoted, two suffixes.
+
+    Model h predicts the mean residual of the seven days that end h days before the scored day.
+    """
+    hi = r.last_day(spark, sf)
+    rows = ol.with_since(target(spark, sf, HORIZON))
+    by_day = Window.partitionBy("id").orderBy("d")
+    week = F.avg("residual").over(by_day.rowsBetween(-6, 0))
+    rows = rows.withColumn("_week", week)
+    each = [F.struct(F.lit(h).alias("horizon"), ol.safe_lag("_week", h, by_day).alias("pred")) for h in range(1, HORIZON + 1)]
+    scored = rows.withColumn("x", F.array(*each)).where(F.col("d") > hi).select(
+        F.lit(TERMS[0]).alias("term"), "id", "d", "baseline", F.explode("x").alias("x")
+    ).select("term", "id", "d", "baseline", "x.*")
+    wide = submission(plan_final(scored, hi))
+    return wide.select("id", *[r.rounded(c).alias(c) for c in of.horizon_columns()])
+
+
 # ---------------------------------------------------------------- tables and files
 
 

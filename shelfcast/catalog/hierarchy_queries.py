@@ -11,7 +11,8 @@ from shelfcast.operators import hierarchy as oh
 from shelfcast.operators import metrics as om
 from shelfcast.operators import target as ot
 from shelfcast.schema import LEVELS
-from shelfcast.session import checkpointed
+from shelfcast.session import checkpointed, table_path
+from shelfcast.sources import store
 
 STORE_LEVELS = {"LEVEL1": (), "LEVEL2": ("state_id",), "LEVEL3": ("store_id",)}
 
@@ -259,6 +260,30 @@ def store_hierarchy_weights(spark, sf):
     )
 
 
+@query(
+    "weight_store",
+    f"""WITH {SQL_STORE}, series AS (SELECT DISTINCT id, state_id, store_id, cat_id, dept_id, item_id FROM leaf),
+    m AS (SELECT store_id, count(*) AS n_members FROM (SELECT s.store_id, x.* FROM ({membership_sql()}) x JOIN series s ON s.id = x.id) GROUP BY 1),
+    first AS (SELECT min(part) AS p FROM weights)
+    SELECT w.part AS store_id, w.level, w.node, m.n_members, round(CASE WHEN w.part = p THEN 2 * w.weight ELSE w.weight END, 9) AS weight, round(w.scale, 6) AS scale
+    FROM weights w JOIN m ON m.store_id = w.part, first""",
+)
+def weight_store(spark, sf):
+    """Membership, scale and weight by store are written, one store is replaced by doubled weights, and all is read again."""
+    path = table_path(spark, "weight-store")
+    found = checkpointed(store_weights(spark, sf).withColumnRenamed("part", "store_id"))
+    series = r.leaf_series(spark, sf)
+    members = oh.membership(series).join(series.select("id", "store_id"), "id")
+    scale, weight = found.select("store_id", "level", "node", "scale"), found.select("store_id", "level", "node", "weight")
+    store.write_weights(path, members, scale, weight)
+    one = F.col("store_id") == found.agg(F.min("store_id")).first()[0]
+    store.write_weights(path, members.where(one), scale.where(one), weight.where(one).withColumn("weight", 2 * F.col("weight")))
+    members, scale, weight = store.read_weights(spark, path)
+    counts = members.groupBy("store_id").agg(F.count("*").alias("n_members"))
+    rows = scale.join(weight, ["store_id", "level", "node"]).join(counts, "store_id")
+    return rows.select("store_id", "level", "node", "n_members", F.round("weight", 9).alias("weight"), F.round("scale", 6).alias("scale"))
+
+
 @query(
     "wrmsse_by_store",
     f"""WITH {SQL_STORE}, {SQL_ERRORS[SQL_ERRORS.index('asked AS'):SQL_ERRORS.index('node_err AS')].rstrip()}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.schema import LEAF, LEVELS
+from shelfcast.schema import KEYS, LEAF, LEVELS
 
 
 def node_label(keys: Sequence[str]) -> Column:
@@ -117,26 +117,37 @@ def rollup(
     return pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
 
 
-def rolldown(series: DataFrame, node_values: DataFrame, value: str, levels: dict = LEVELS) -> DataFrame:
-    """Sum of a node value over all ancestors of each series (A10, H6).
+UPPER = tuple(k for k in KEYS if k != "item_id")
+
+
+def ancestor_sum(rows: DataFrame, node_values: DataFrame, value: str, levels: dict = LEVELS, by: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with ``value`` summed over the ancestors of each row (A10); an ancestor without a value counts as 0.
 
-    One lookup per level on the series dimension. The lookup side has one row per
-    node, so a hot node (all series sit under the root) never multiplies rows:
-    Catalyst broadcasts the levels it sizes as small, and adaptive execution splits
-    a hot key of a shuffled level on the series side. The root is a scalar.
+    All levels without an item are one value per (store, department): they are looked up for the distinct pairs, added
+    up there, and meet the rows in a single join; each level with an item is one more. ``by`` columns, like the day, are
+    part of every key. The lookup sides hold one row per key, so a hot node never multiplies rows.
     """
-    out = series.select("id", *[k for k in dict.fromkeys(k for ks in levels.values() for k in ks)])
-    terms = []
-    for name, keys in levels.items():
-        col = f"{value}_{name}"
-        nodes = node_values.where(F.col("level") == name)
-        if keys:
-            nodes = nodes.select(F.col("node").alias("_node"), F.col(value).alias(col))
-            out = out.join(nodes, node_label(keys) == F.col("_node"), "left").drop("_node")
-        else:
-            out = out.withColumn(col, nodes.agg(F.sum(value)).scalar())
-        terms.append(F.coalesce(F.col(col), F.lit(0.0)))
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return out.select("id", total.alias(value))
+    fine = {n: k for n, k in levels.items() if "item_id" in k}
+    coarse = {n: k for n, k in levels.items() if n not in fine}
+    kept = rows.columns
+
+    def looked_up(df: DataFrame, chosen: dict) -> DataFrame:
+        total = F.lit(0.0)
+        for name, keys in chosen.items():
+            col = f"_{name}"
+            one = node_values.where(F.col("level") == name).select(F.col("node").alias("_node"), *by, F.col(value).alias(col))
+            df = df.withColumn("_node", node_label(keys)).join(one, ["_node", *by], "left").drop("_node")
+            total = total + F.coalesce(F.col(col), F.lit(0.0))
+        return df.withColumn("_sum", total).drop(*[f"_{n}" for n in chosen])
+
+    out = rows
+    if coarse:
+        groups = looked_up(rows.select(*UPPER, *by).distinct(), coarse).withColumnRenamed("_sum", "_upper")
+        out = out.join(groups, [*UPPER, *by], "left")
+    upper = F.col("_upper") if coarse else F.lit(0.0)
+    return looked_up(out, fine).select(*kept, (upper + F.col("_sum")).alias(value))
+
+
+def rolldown(series: DataFrame, node_values: DataFrame, value: str, levels: dict = LEVELS) -> DataFrame:
+    """Sum of a node value over all ancestors of each series (A10, H6): four lookups for twelve levels."""
+    return ancestor_sum(series.select("id", *KEYS), node_values, value, levels).select("id", value)

@@ -9,8 +9,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.operators.hierarchy import node_label, rolldown, rollup
-from shelfcast.schema import HORIZON, LEAF, LEVELS, ROOT
+from shelfcast.operators.hierarchy import ancestor_sum, rolldown, rollup
+from shelfcast.schema import HORIZON, KEYS, LEAF, LEVELS, ROOT
 
 
 def rmsse_scale(node_sales: DataFrame, last_day: int, keys: Sequence[str] = ("level", "node")) -> DataFrame:
@@ -184,28 +184,17 @@ def hierarchical_residual(
 ) -> DataFrame:
     """Per leaf and day: sum over levels of node error * weight / scale.
 
-    A node of a coarse level has one row per day but is shared by many leaves. The
-    node values are therefore looked up level by level with the (node, day) key,
-    where the lookup side holds one row per key.
+    A node of a coarse level has one row per day but is shared by many leaves. The levels without an item are added up
+    to one value per (store, department, day), which the leaf days look up once (``ancestor_sum``).
     """
     chosen = {n: LEVELS[n] for n in levels}
     nodes = (
         rollup(errors, [error], by=["d"], levels=chosen)
         .join(weights.select("level", "node", "weight", "scale"), ["level", "node"])
-        .withColumn("_g", F.col(error) / F.col("scale") * F.col("weight"))
+        .select("level", "node", "d", (F.col(error) / F.col("scale") * F.col("weight")).alias("residual_gradient"))
     )
-    out = errors.select("id", "d", error, *dict.fromkeys(k for ks in chosen.values() for k in ks))
-    total = F.lit(0.0)
-    for name, keys in chosen.items():
-        col = f"_g_{name}"
-        one = nodes.where(F.col("level") == name).select(
-            F.col("node").alias("_node"), F.col("d").alias("_d"), F.col("_g").alias(col)
-        )
-        if not keys:
-            one = F.broadcast(one)  # one row per day
-        out = out.join(one, (node_label(keys) == F.col("_node")) & (F.col("d") == F.col("_d")), "left").drop("_node", "_d")
-        total = total + F.coalesce(F.col(col), F.lit(0.0))
-    return out.select("id", "d", error, total.alias("residual_gradient"))
+    leaf = errors.select("id", *KEYS, "d", error)
+    return ancestor_sum(leaf, nodes, "residual_gradient", chosen, by=["d"]).select("id", "d", error, "residual_gradient")
 
 
 def weighted_residual(pred: Column, actual: Column, weight: Column) -> Column:

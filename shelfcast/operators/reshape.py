@@ -96,6 +96,12 @@ def pivot_sum(df: DataFrame, index: Sequence[str], columns: str, value: str, lab
     return wide.withColumnsRenamed({str(x): f"{prefix}{x}" for x in labels})
 
 
+def pivot_first(df: DataFrame, index: Sequence[str], columns: str, value: str, labels: Sequence, prefix: str) -> DataFrame:
+    """Rows to columns for values of any type, one row per cell."""
+    wide = df.groupBy(*index).pivot(columns, list(labels)).agg(F.first(value))
+    return wide.withColumnsRenamed({str(x): f"{prefix}{x}" for x in labels})
+
+
 def with_serial(dim: DataFrame, order: Sequence[str], name: str = "id_serial", buckets: int = 256) -> DataFrame:
     """Consecutive numbers 0..N-1 in key order.
 

@@ -34,6 +34,26 @@ def read_sales_wide(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
     return raw.select(*SALES_KEYS, *[F.col(c).cast("int").alias(c) for c in days])
 
 
+def read_sales_wide_checked(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Wide sales matrix and its rejects (S1): (matrix, cells that hold no whole number).
+
+    The schema comes from the header. A malformed cell is NULL in the matrix and a row (id, column, text) of the
+    rejects; an empty cell is a missing value and no reject. Both frames scan the file; the rejects are found in one
+    narrow pass over it.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    days = day_columns(raw)
+    _require(raw, SALES_KEYS if days else [*SALES_KEYS, "d_1"])
+
+    def number(c: str):
+        return F.col(c).try_cast("int")
+
+    good = raw.select(*SALES_KEYS, *[number(c).alias(c) for c in days])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in days])
+    bad = F.filter(cells, lambda x: x["text"].isNotNull() & x["text"].try_cast("int").isNull())
+    return good, raw.select("id", F.explode(bad).alias("x")).select("id", "x.column", "x.text")
+
+
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     """Calendar dimension (S3), columns matched by the header's names."""
     return _csv_by_name(spark, path, CALENDAR_SCHEMA)

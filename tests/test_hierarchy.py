@@ -78,3 +78,16 @@ def test_unique_leaf_rows_give_the_same_rollup(spark):
     usual = h.rollup(rows, ["sales"], by=["d"])
     short = h.rollup(rows, ["sales"], by=["d"], leaf_rows=True)
     assert sorted(map(tuple, usual.collect())) == sorted(map(tuple, short.select(usual.columns).collect()))
+
+
+def test_few_lookups_for_twelve_levels(spark):
+    series = spark.createDataFrame(series_table())
+    values = h.membership(series).select("level", "node").distinct().withColumn("v", F.pmod(F.xxhash64("level", "node"), F.lit(100)) / 7)
+    want = h.membership(series).join(values, ["level", "node"]).groupBy("id").agg(F.sum("v").alias("v"))
+    got = {r.id: r.v for r in h.rolldown(series, values, "v").collect()}
+    assert got == pytest.approx({r.id: r.v for r in want.collect()})
+    days = series.crossJoin(spark.range(1, 4).select(F.col("id").alias("d")))
+    daily = values.crossJoin(spark.range(1, 3).select(F.col("id").alias("d"))).withColumn("v", F.col("v") * F.col("d"))
+    by_day = {(r.id, r.d): r.v for r in h.ancestor_sum(days, daily, "v", by=["d"]).collect()}
+    assert by_day == pytest.approx({(i, d): (v * d if d < 3 else 0) for i, v in got.items() for d in (1, 2, 3)})
+    assert "Python" not in executed_plan(h.rolldown(series, values, "v"))

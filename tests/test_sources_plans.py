@@ -245,3 +245,35 @@ def test_bucketed_table_needs_no_shuffle(spark, tmp_path):
         assert "Exchange" not in executed_plan(add_baseline(table, 1, 2))
     finally:
         spark.sql(f"DROP TABLE bucketed_{tmp_path.name.replace('-', '_')}")
+
+
+def test_weight_store_replaces_one_store(spark, tmp_path):
+    rows = [("CA_1", "LEVEL1", "Total_X", 1.0), ("TX_1", "LEVEL1", "Total_X", 2.0)]
+    frame = spark.createDataFrame(rows, "store_id string, level string, node string, x double")
+    scale, weight = frame.withColumnRenamed("x", "scale"), frame.withColumnRenamed("x", "weight")
+    members = spark.createDataFrame([("CA_1", "a"), ("TX_1", "b")], "store_id string, id string")
+    path = str(tmp_path / "weights")
+    store.write_weights(path, members, scale, weight)
+    one = F.col("store_id") == "CA_1"
+    store.write_weights(path, members.where(one), scale.where(one), weight.where(one).withColumn("weight", F.lit(9.0)))
+    got_members, got_scale, got_weight = store.read_weights(spark, path)
+    assert {(r.store_id, r.weight) for r in got_weight.collect()} == {("CA_1", 9.0), ("TX_1", 2.0)}
+    assert {(r.store_id, r.scale) for r in got_scale.collect()} == {("CA_1", 1.0), ("TX_1", 2.0)} and got_members.count() == 2
+
+
+def test_prediction_table_has_a_term_without_anchor(spark, tmp_path):
+    rows = [("private", None, "a", 1, 0.5, None), ("public", 7, "a", 1, 0.25, 1.0), ("public", 28, "a", 1, 0.75, 1.0)]
+    df = spark.createDataFrame(rows, "term string, anchor int, id string, d int, pred double, target double")
+    path = str(tmp_path / "predictions")
+    store.write_predictions(df, path)
+    table = store.write_predictions(df.where("anchor = 7").withColumn("pred", F.lit(8.0)), path)
+    assert {(r.term, r.anchor, r.pred) for r in table.collect()} == {("private", None, 0.5), ("public", 7, 8.0), ("public", 28, 0.75)}
+
+
+def test_malformed_cells_are_rejected_not_lost(spark, tmp_path):
+    head = ",".join(["id", *scan.SALES_KEYS[1:], "d_1", "d_2", "d_3"])
+    lines = [head, "a,i,de,c,s,st,1,x2,", "b,i,de,c,s,st,4,5,6", "c,i,de,c,s,st,1.5,99999999999,-3"]
+    (tmp_path / "wide.csv").write_text("\n".join(lines))
+    good, bad = scan.read_sales_wide_checked(spark, str(tmp_path / "wide.csv"))
+    assert {(r.id, r.d_1, r.d_2, r.d_3) for r in good.collect()} == {("a", 1, None, None), ("b", 4, 5, 6), ("c", None, None, -3)}
+    assert {(r.id, r.column, r.text) for r in bad.collect()} == {("a", "d_2", "x2"), ("c", "d_1", "1.5"), ("c", "d_2", "99999999999")}
