@@ -14,8 +14,9 @@
    has been compared. Work there is members times pivots, split over tasks, and no pair is skipped.
 
 Defined cases: a null text counts as empty; a document without words has no shingles and links with
-nothing; under ``k`` words the whole sequence is one shingle; rows with the same id and set are one class
-member each; a null id takes the component of its class, or null. An empty table gives an empty result.
+nothing; under ``k`` words the whole sequence is one shingle; repeated rows are members each. Links are between texts, so a
+row with a null id or an id that occurs twice links like any other; it takes the component of its class, which is null
+if no member has an id. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ AT_ONCE = 512
 PIVOTS = 128
 #: Members of one task when a large component is compared with its pivots.
 TASK_MEMBERS = 2_000
-#: Surviving ids are broadcast up to this number, and shuffled beyond.
-BROADCAST_ROWS = 500_000
+#: Surviving classes, of about 60 bytes each, are broadcast up to this number and shuffled beyond; the rows are the same.
+BROADCAST_ROWS = 100_000
 _U = np.uint64
 
 
@@ -53,17 +54,18 @@ def _set_key(x: np.ndarray) -> tuple[int, int]:
 
 
 def shingle_keys(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """id, n (distinct shingles) and the 128-bit key of the set, for rows (id, text)."""
+    """id, tid, n (distinct shingles) and the 128-bit key of the set, for rows (id, tid, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(len(x), *_set_key(x)) for x in th.shingle_sets(batch.column("text"), k)]
             n, k1, k2 = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], ["id", "n", "k1", "k2"]
+                [batch.column("id"), batch.column("tid"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())],
+                ["id", "tid", "n", "k1", "k2"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, k1 long, k2 long")
+    return docs.mapInArrow(run, "id long, tid long, n long, k1 long, k2 long")
 
 
 def _counted_shingles(docs: DataFrame, k: int) -> DataFrame:
@@ -130,7 +132,7 @@ def _survivors(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> Dat
     seen = _counted_shingles(docs, k).groupBy("h").agg(F.min("k1").alias("k1"), F.max("k1").alias("other"))
     unique = seen.filter("k1 = other").groupBy("k1").agg(F.count("*").alias("unique"))
     left = classes.join(unique, "k1", "left").filter(F.coalesce("unique", F.lit(0)) < prefix_length(F.col("n"), percent))
-    return written(left.select("cid", "id", "n", "k1", "k2"), "survivors")
+    return written(left.select("cid", "rep", "n", "k1", "k2"), "survivors")
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
@@ -275,10 +277,10 @@ def _verify_large(rows: DataFrame, percent: int) -> DataFrame:
 def class_roots(docs: DataFrame, classes: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(cid, root) of the classes that may link with another one."""
     left = _survivors(docs, classes, k, percent)
-    if left.count() <= BROADCAST_ROWS:
-        texts = docs.join(F.broadcast(left), "id")
-    else:
-        texts = docs.join(left, "id")
+    left = left.select("cid", "n", "k1", "k2", F.col("rep.id").alias("rid"), F.col("rep.tid").alias("rtid"))
+    # A text stands for its class by id and hash: ids may be null or occur twice. ``_sets`` leaves out texts of another set.
+    same = F.col("id").eqNullSafe(F.col("rid")) & (F.col("tid") == F.col("rtid"))
+    texts = docs.join(F.broadcast(left) if left.count() <= BROADCAST_ROWS else left, same)
     sets = written(_sets(texts.select("text", "cid", "n", "k1", "k2"), k).dropDuplicates(["cid"]), "sets")
     members, edges = _candidates(_prefixes(sets, percent), percent)
     loops = members.select(F.col("gid").alias("a"), F.col("gid").alias("b"))
@@ -293,31 +295,48 @@ def class_roots(docs: DataFrame, classes: DataFrame, k: int = WORDS, percent: in
     return written(small, "roots")
 
 
-def similar_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """id, n_shingles and component_id (the least id that links reach) of every row."""
-    docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+def _row_key(id: str, text: str) -> list[Column]:
+    """(id, tid): what tells rows apart whose ids are null or occur twice; ``tid`` hashes the text."""
+    return [F.col(id).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tid")]
+
+
+def _rows(docs: DataFrame, id: str, text: str, k: int, percent: int) -> DataFrame:
+    """(id, tid, n, root, component_id) of every row; ``root`` names the component also where no member has an id, and is null without words."""
+    docs = docs.select(*_row_key(id, text), F.col(text).alias("text"))
     keys = written(shingle_keys(docs, k), "keys")
-    classes = keys.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("id"))
+    # The text of the least id stands for a class, one with a null id only if there is no other.
+    rep = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tid")).alias("rep")
+    classes = keys.filter("n > 0").groupBy("n", "k1", "k2").agg(rep)
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     roots = class_roots(docs, classes, k, percent)
     linked = classes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    answer = linked.join(least, "root").select("n", "k1", "k2", "component_id")
-    out = keys.join(answer, ["n", "k1", "k2"], "left")
+    least = linked.groupBy("root").agg(F.min("rep.id").alias("component_id"))
+    answer = linked.join(least, "root").select("n", "k1", "k2", "root", "component_id")
+    return keys.join(answer, ["n", "k1", "k2"], "left").select("id", "tid", "n", "root", "component_id")
+
+
+def similar_components(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """id, n_shingles and component_id (the least id that links reach) of every row."""
+    out = _rows(docs, id, text, k, percent)
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with the least id of their component; of repeated rows one.
+    """The row of ``docs`` with the least id of each component, with a null id only if the component has no other.
 
-    Rows with a null id join no component by name and stay. Only ids go into the join with the texts, and
-    texts are compared only if an id occurs twice among those that stay.
+    Rows are told apart by id and text, so different texts under one id stay if they do not link. Rows without words link with
+    nothing and stay. Of rows equal in id and text one stays, an arbitrary one if they differ in other columns.
     """
-    found = written(similar_components(docs, id, text, k, percent), "components").filter(F.col(id).isNotNull())
-    stay = found.filter(F.col(id) == F.col("component_id")).groupBy(id).agg(F.count("*").alias("__rows"))
-    stay = written(stay, "kept")
-    twice = stay.filter("__rows > 1").limit(1).count()
-    kept = docs.join(stay.select(id), id, "left_semi")
-    if twice:
-        kept = kept.dropDuplicates([id])
-    return kept.unionByName(docs.filter(F.col(id).isNull())).select(*docs.columns)
+    found = written(_rows(docs, id, text, k, percent), "components")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tid")).alias("x")
+    heads = found.filter("n > 0").groupBy("root").agg(first).select(F.col("x.id").alias("__id"), F.col("x.tid").alias("__tid"))
+    bare = found.filter("n = 0").select(F.col("id").alias("__id"), F.col("tid").alias("__tid")).distinct()
+    stay = written(heads.unionByName(bare), "kept")
+    key_id, key_tid = _row_key(id, text)
+    same = key_id.eqNullSafe(F.col("__id")) & (key_tid == F.col("__tid"))
+    kept = docs.join(stay, same, "left_semi")
+    # Rows that are equal in id and text are rare: only if there are any are the texts grouped.
+    rows_of_kept = found.join(stay, F.col("id").eqNullSafe(F.col("__id")) & (F.col("tid") == F.col("__tid")), "left_semi")
+    if rows_of_kept.groupBy("id", "tid").agg(F.count("*").alias("c")).filter("c > 1").limit(1).count():
+        kept = kept.withColumn("__tid", key_tid).dropDuplicates([id, "__tid"])
+    return kept.select(*docs.columns)

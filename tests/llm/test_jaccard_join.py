@@ -74,3 +74,25 @@ def test_one_per_component(spark):
     keep = {r[0] for r in brute_force(rows) if r[0] == r[2] and r[0] != "None"}
     assert sorted(str(r.doc_id) for r in out if r.doc_id is not None) == sorted(keep)
     assert sum(r.doc_id is None for r in out) == 1
+
+
+def test_a_row_without_id_is_a_bridge(spark):
+    base = [f"w{i}" for i in range(60)]
+    bridge = base[:52] + [f"y{i}" for i in range(4)] + base[56:]
+    far = bridge[:4] + [f"z{i}" for i in range(3)] + bridge[7:]
+    link = lambda a, b: 100 * len(shingles(a) & shingles(b)) >= 75 * len(shingles(a) | shingles(b))
+    a, x, b = (" ".join(w) for w in (base, bridge, far))
+    assert link(a, x) and link(x, b) and not link(a, b)
+    rows = [(1, a, "en", "s", 1), (None, x, "en", "s", 1), (3, b, "en", "s", 1)]
+    df = spark.createDataFrame(rows, FIELDS)
+    assert result(j.similar_components(df)) == brute_force(rows)
+    assert {(r.doc_id, r.component_id) for r in j.similar_components(df).collect()} == {(1, 1), (None, 1), (3, 1)}
+    assert [r.doc_id for r in j.one_per_component(df).collect()] == [1]
+
+
+def test_one_row_of_each_component_by_text_and_id(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcd"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (5, ""), (6, ""), (7, texts[3]), (7, texts[3])]
+    df = spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)], FIELDS)
+    got = sorted((str(r.doc_id), r.text) for r in j.one_per_component(df).collect())
+    assert got == sorted((str(i), t) for i, t in [(1, texts[0]), (1, texts[1]), (None, texts[2]), (5, ""), (6, ""), (7, texts[3])])
