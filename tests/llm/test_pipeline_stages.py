@@ -43,11 +43,19 @@ def test_quality_keeps_what_scores_enough(spark, stages):
     assert Counter(tables["quality"]) == Counter(want)
 
 
-def test_line_dedup_keeps_every_document(stages):
+def test_line_dedup_drops_only_what_it_empties(stages):
     before, after = stages[0]["quality"], stages[0]["line_dedup"]
-    want = without(before, repeated_lines(before))
+    cut = without(before, repeated_lines(before))
+    had = {r.doc_id: words(r.text) for r in before}
+    want = {i: t for i, t in cut.items() if words(t) or not had[i]}
     assert {r.doc_id: (r.text, r.n_chars) for r in after} == {i: (t, len(t)) for i, t in want.items()}
-    assert len(after) == len(before) and want != {r.doc_id: r.text for r in before}
+    assert len(after) == len(want) < len(before) and want != {i: t for i, t in cut.items()}
+
+
+def test_no_emptied_document_is_packed(stages):
+    texts = {r.doc_id: r.text for r in stages[0]["mixing"]}
+    assert texts and all(words(t) for t in texts.values())
+    assert {r.doc_id for r in stages[0]["packing"]} == set(texts)
 
 
 def test_near_duplicates_keep_the_least_of_each_group(stages):
