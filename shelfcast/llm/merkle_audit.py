@@ -1,13 +1,14 @@
 """Fixity audit of WARC replicas by Merkle trees, with built-in functions only.
 
 Pages become WARC response records, dealt to files of bounded size and laid out in order of their id;
-the manifest holds file, offset, length and digest of each record. A replica's records are placed by the
-manifest, so that a missing record does not move the others. Records of one offset range are hashed in
-order into a leaf, ``FAN_OUT`` nodes into their parent, up to a root per file. The audit compares the
-roots and descends only where digests differ: a level reads the children of the nodes that differed above.
+the manifest holds file, offset, length and digest of each record. A leaf covers an offset range of the primary and so a
+range of its ids. Each replica builds its tree from its own records alone: they fall into the ranges by id, records
+that the primary lacks included. Records of a range are hashed in order into a leaf, ``FAN_OUT`` nodes into their parent, up to a root per
+file. The audit compares the roots and descends only where digests differ: a level reads the children of the
+nodes that differed above, and records of the two replicas meet only inside ranges that differ.
 
-Both trees are aggregations by (file, node) with groups bounded by the range or the fan-out, so no key
-is hot. A level is written before the next is built.
+Both trees are aggregations by (file, node); a range is hashed in blocks of ``BLOCK`` records and a node has at most ``FAN_OUT``
+children, so no group grows with the data. A level is written before the next is built.
 
 Defined cases: null url or html counts as empty; a null id sorts first and matches a null id; repeated
 records of one id are laid out one after the other, told apart by their number; records that only the
@@ -28,6 +29,7 @@ FILE_BYTES = 256 << 20
 LEAST_FILES = 16
 RANGE_BYTES = 64 << 10
 FAN_OUT = 16
+BLOCK = 4096
 _LINE = "\r\n"
 
 
@@ -58,14 +60,39 @@ def record_digests(pages: DataFrame) -> DataFrame:
     return numbered.select("page_id", "number", "length", "digest")
 
 
-def manifest(records: DataFrame, file_bytes: int = FILE_BYTES, least_files: int = LEAST_FILES) -> DataFrame:
-    """(file, page_id, number, offset, length, digest): records of a file in order of their id."""
+def _file(files: int) -> Column:
+    return F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(files)).cast("int")
+
+
+def file_count(records: DataFrame, file_bytes: int = FILE_BYTES, least_files: int = LEAST_FILES) -> int:
     total = records.agg(F.sum("length")).first()[0] or 0
-    files = max(least_files, -(-total // file_bytes))
-    file = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(files)).cast("int")
+    return max(least_files, -(-total // file_bytes))
+
+
+def manifest(records: DataFrame, files: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(file, node, page_id, number, offset, length, digest): records of a file in order of their id, ``node`` their offset range."""
     order = Window.partitionBy("file").orderBy("page_id", "number")
     offset = F.sum("length").over(order) - F.col("length")
-    return records.withColumn("file", file).withColumn("offset", offset).select("file", "page_id", "number", "offset", "length", "digest")
+    placed = records.withColumn("file", _file(files)).withColumn("offset", offset)
+    return placed.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).select("file", "node", "page_id", "number", "offset", "length", "digest")
+
+
+def place_by_id(records: DataFrame, wanted: DataFrame, files: int) -> DataFrame:
+    """(file, node, page_id, number, length, digest): a replica's records in the ranges of the manifest ``wanted``.
+
+    Only the first id of each range is read from the manifest: a record belongs to the last range that starts at or before it.
+    """
+    starts = wanted.groupBy("file", "node").agg(F.min(F.struct("page_id", "number")).alias("s"))
+    none = F.lit(None)
+    starts = starts.select(
+        "file", F.col("s.page_id").alias("page_id"), F.col("s.number").alias("number"), none.cast("long").alias("length"), none.cast("string").alias("digest"), "node"
+    )
+    rows = records.select(_file(files).alias("file"), "page_id", "number", "length", "digest", none.cast("long").alias("node"))
+    # A start sorts before the record of the same id and number.
+    order = Window.partitionBy("file").orderBy("page_id", "number", F.col("node").isNull())
+    found = F.last("node", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = rows.unionByName(starts).withColumn("at", F.coalesce(found, F.lit(0).cast("long")))
+    return placed.filter("digest IS NOT NULL").select("file", F.col("at").alias("node"), "page_id", "number", "length", "digest")
 
 
 def _joined(items: Column) -> Column:
@@ -73,52 +100,59 @@ def _joined(items: Column) -> Column:
     return F.sha2(F.array_join(F.transform(F.array_sort(items), lambda x: x["digest"]), ""), 256)
 
 
-def merkle_levels(placed: DataFrame, range_bytes: int = RANGE_BYTES, fan_out: int = FAN_OUT) -> list[DataFrame]:
-    """Levels (file, node, a, b) from the leaves up; a and b are the digests of the two replicas.
+def merkle_levels(placed: DataFrame, nodes: int, fan_out: int = FAN_OUT) -> list[DataFrame]:
+    """Levels (file, node, digest) of one replica from the leaves up; ``nodes`` is the number of ranges of the longest file.
 
-    ``placed`` has file, offset, number, and the record digests a and b, null where a replica has none.
+    ``placed`` has file, node, page_id, number and digest.
     """
-    side = lambda c: _joined(F.collect_list(F.struct("offset", "page_id", "number", F.coalesce(c, F.lit("-")).alias("digest"))))
-    leaves = placed.groupBy("file", F.floor(F.col("offset") / range_bytes).cast("long").alias("node")).agg(side("a").alias("a"), side("b").alias("b"))
+    order = Window.partitionBy("file", "node").orderBy("page_id", "number")
+    blocks = placed.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("long"))
+    blocks = blocks.groupBy("file", "node", "block").agg(_joined(F.collect_list(F.struct("page_id", "number", "digest"))).alias("digest"))
+    leaves = blocks.groupBy("file", "node").agg(_joined(F.collect_list(F.struct("block", "digest"))).alias("digest"))
     levels = [written(leaves, "merkle-0")]
-    width = (levels[0].agg(F.max("node")).first()[0] or 0) + 1
-    while width > 1:
-        up = lambda c: _joined(F.collect_list(F.struct("node", F.col(c).alias("digest"))))
-        parents = levels[-1].groupBy("file", F.floor(F.col("node") / fan_out).cast("long").alias("parent")).agg(up("a").alias("a"), up("b").alias("b"))
-        levels.append(written(parents.withColumnRenamed("parent", "node"), f"merkle-{len(levels)}"))
-        width = -(-width // fan_out)
+    while nodes > 1:
+        parent = F.floor(F.col("node") / fan_out).cast("long").alias("parent")
+        up = levels[-1].groupBy("file", parent).agg(_joined(F.collect_list(F.struct("node", "digest"))).alias("digest"))
+        levels.append(written(up.withColumnRenamed("parent", "node"), f"merkle-{len(levels)}"))
+        nodes = -(-nodes // fan_out)
     return levels
 
 
-def differing_ranges(levels: list[DataFrame], fan_out: int = FAN_OUT) -> DataFrame:
-    """(file, node) of the leaves that differ, found from the roots down."""
-    frontier = levels[-1].filter("a <> b").select("file", "node")
-    for level in reversed(levels[:-1]):
-        children = level.withColumn("parent", F.floor(F.col("node") / fan_out).cast("long"))
-        above = frontier.withColumnRenamed("node", "parent")
-        frontier = children.join(above, ["file", "parent"], "left_semi").filter("a <> b").select("file", "node")
+def differing_ranges(primary: list[DataFrame], replica: list[DataFrame], fan_out: int = FAN_OUT) -> DataFrame:
+    """(file, node) of the leaves that differ or that one tree lacks, found from the roots down."""
+    frontier = None
+    for a, b in zip(reversed(primary), reversed(replica)):
+        if frontier is not None:
+            above = frontier.withColumnRenamed("node", "parent")
+            parent = F.floor(F.col("node") / fan_out).cast("long")
+            a, b = (x.withColumn("parent", parent).join(above, ["file", "parent"], "left_semi").drop("parent") for x in (a, b))
+        both = a.withColumnRenamed("digest", "a").join(b.withColumnRenamed("digest", "b"), ["file", "node"], "full")
+        frontier = both.filter(~F.col("a").eqNullSafe(F.col("b"))).select("file", "node")
     return frontier
 
 
-def audit(primary: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES, fan_out: int = FAN_OUT) -> DataFrame:
+def audit(
+    primary: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES, fan_out: int = FAN_OUT, file_bytes: int = FILE_BYTES, least_files: int = LEAST_FILES
+) -> DataFrame:
     """(file, offset, length, page_id, number, status, expected, found) of every record that differs.
 
     status is ``changed``, ``missing`` or ``extra``; ``primary`` and ``replica`` are tables of pages.
     """
-    wanted = written(manifest(written(record_digests(primary), "records")), "manifest")
-    copy = written(record_digests(replica), "replica").withColumnsRenamed({"page_id": "__id", "number": "__number", "length": "__length"})
-    same = F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("number") == F.col("__number"))
-    placed = wanted.withColumnRenamed("digest", "a").join(copy.withColumnRenamed("digest", "b"), same, "left")
-    placed = written(placed.select("file", "page_id", "number", "offset", "length", "a", "b"), "placed")
-    ranges = differing_ranges(merkle_levels(placed, range_bytes, fan_out), fan_out)
-    suspects = placed.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).join(ranges, ["file", "node"], "left_semi")
-    status = F.when(F.col("b").isNull(), "missing").otherwise("changed")
-    found = suspects.filter("b IS NULL OR a <> b")
-    found = found.select("file", "offset", "length", "page_id", "number", status.alias("status"), F.col("a").alias("expected"), F.col("b").alias("found"))
-    extra = copy.join(wanted.select("page_id", "number"), same, "left_anti")
-    none = F.lit(None)
-    extra = extra.select(
-        none.cast("int").alias("file"), none.cast("long").alias("offset"), F.col("__length").alias("length"), F.col("__id").alias("page_id"),
-        F.col("__number").alias("number"), F.lit("extra").alias("status"), none.cast("string").alias("expected"), F.col("digest").alias("found"),
+    records = written(record_digests(primary), "records")
+    files = file_count(records, file_bytes, least_files)
+    wanted = written(manifest(records, files, range_bytes), "manifest")
+    copy = written(place_by_id(record_digests(replica), wanted, files), "replica")
+    nodes = (wanted.agg(F.max("node")).first()[0] or 0) + 1
+    ranges = written(differing_ranges(merkle_levels(wanted, nodes, fan_out), merkle_levels(copy, nodes, fan_out), fan_out), "differing")
+    a = wanted.join(ranges, ["file", "node"], "left_semi").alias("a")
+    b = copy.join(ranges, ["file", "node"], "left_semi").alias("b")
+    keys = ["file", "node", "page_id", "number"]
+    same = reduce(Column.__and__, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    found = a.join(b, same, "full").filter(~F.col("a.digest").eqNullSafe(F.col("b.digest")))
+    extra, missing = F.col("a.digest").isNull(), F.col("b.digest").isNull()
+    either = lambda c: F.when(extra, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c)
+    return found.select(
+        F.col("a.file").alias("file"), F.col("a.offset").alias("offset"), either("length"), either("page_id"), either("number"),
+        F.when(extra, "extra").when(missing, "missing").otherwise("changed").alias("status"),
+        F.col("a.digest").alias("expected"), F.col("b.digest").alias("found"),
     )
-    return reduce(DataFrame.unionByName, [found, extra])
