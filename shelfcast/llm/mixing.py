@@ -108,12 +108,12 @@ def _fold(units: Column, seed: int) -> Column:
     return F.aggregate(units, start, step)
 
 
-def round_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0, fan_in: int = FAN_IN) -> DataFrame:
+def round_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0, fan_in: int = FAN_IN, most: float = MOST) -> DataFrame:
     """source, doc_id, size, source_size, target, copies: one row for each row of ``sizes``.
 
     Documents of over 1/``LARGE`` of their source, of which there are fewer than ``LARGE``, meet first.
-    What their rounding misses is handed to the fractions of the others, so that only a short
-    document's residual is left at the end.
+    What their rounding leaves of the target is shared by the others as whole copies and a fraction, and the last large one takes
+    a number of copies whose remainder they can hold, if there is one; so only a short document's residual is left at the end.
     """
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     base = F.floor(wanted + _EPS)
@@ -128,18 +128,31 @@ def round_copies(sizes: DataFrame, targets: DataFrame, seed: int = 0, fan_in: in
     rounded = lambda r: F.struct(*[r[c].alias(c) for c in ("id", "words", "n")], F.round(r["p"]).alias("p"))
 
     large = units.filter((F.col("size") > 0) & is_large).groupBy(*keys, "p").agg(F.collect_list(unit(F.col("p"))).alias("units"))
-    large = large.withColumn("f", _fold(F.col("units"), seed)).withColumn(
-        "done", F.when(F.col("f.rest").isNull(), F.col("f.done")).otherwise(F.concat("f.done", F.array(rounded(F.col("f.rest")))))
+    large = large.withColumn("f", _fold(F.col("units"), seed))
+    # The last open one takes the copies nearest to its share among those whose remainder the other documents can hold.
+    taken = F.aggregate("f.done", F.lit(0.0), lambda s, x: s + x["words"] * (F.col("base") + x["p"]))
+    whole = F.aggregate("units", F.lit(0.0), lambda s, x: s + x["words"])
+    room = F.lit(most) * (F.col("source_size") - whole)
+    large = large.withColumns({"left": F.col("target") - taken, "room": room})
+    words_of = lambda c: c * F.col("f.rest.words")
+    miss = lambda c: F.round(F.greatest(F.lit(0.0), words_of(c) - F.col("left"), F.col("left") - words_of(c) - F.col("room")), 6)
+    choices = F.transform(
+        F.sequence(F.lit(0), F.lit(int(most))), lambda c: F.struct(miss(c).alias("miss"), F.abs(c - F.col("base") - F.col("f.rest.p")).alias("off"), c.alias("c"))
     )
-    excess = F.aggregate("done", F.lit(0.0), lambda s, x: s + x["words"] * x["p"])
+    large = large.withColumn("pick", F.when(F.col("f.rest").isNotNull(), F.array_min(choices)["c"]))
+    settled = F.struct(*[F.col("f.rest")[c].alias(c) for c in ("id", "words", "n")], (F.col("pick") - F.col("base")).cast("double").alias("p"))
+    large = large.withColumn("done", F.when(F.col("pick").isNull(), F.col("f.done")).otherwise(F.concat("f.done", F.array(settled))))
     held = F.aggregate("done", F.lit(0.0), lambda s, x: s + x["words"])
+    left = F.col("left") - F.coalesce(F.col("pick") * F.col("f.rest.words"), F.lit(0.0))
     others = F.col("source_size") - held
-    shift = F.when(others > 0, (excess - held * F.col("p")) / others).otherwise(F.lit(0.0))
-    large = written(large.select(*keys, "done", shift.alias("shift")), "large")
-
-    small = units.filter((F.col("size") > 0) & ~is_large)
-    small = small.alias("s").join(large.select("source", "shift").alias("t"), same, "left").select("s.*", F.coalesce("t.shift", F.lit(0.0)).alias("shift"))
-    p = F.least(F.greatest(F.col("p") - F.col("shift"), F.lit(0.0)), F.lit(1.0))
+    share = F.when(others > 0, F.least(F.greatest(left / others, F.lit(0.0)), F.lit(most)))
+    large = written(large.select(*keys, "done", share.alias("share")), "large")
+
+    # The other documents take what the large ones leave of the target, each its share: whole copies and a fraction.
+    small = units.filter((F.col("size") > 0) & ~is_large).alias("s").join(large.select("source", "share").alias("t"), same, "left")
+    small = small.select("s.*", F.coalesce("t.share", F.col("base") + F.col("p")).alias("share"))
+    small = small.withColumn("base", F.floor(F.col("share") + _EPS))
+    p = F.greatest(F.col("share") - F.col("base"), F.lit(0.0))
     block = F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.ceil(F.col("units") / fan_in))
     most = targets.agg(F.max("units")).first()[0] or 0
     levels, open_units = [large.select(*keys, F.explode("done").alias("unit"))], small.select(*keys, block.alias("block"), unit(p).alias("unit"))
@@ -171,7 +184,7 @@ def document_sizes(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = 0) -> DataFrame:
     """doc_id, source, size, source_size, target, copies of every document."""
     sizes = document_sizes(docs)
-    return round_copies(sizes, written(source_targets(sizes, weights, most), "targets"), seed)
+    return round_copies(sizes, written(source_targets(sizes, weights, most), "targets"), seed, most=most)
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = 0) -> DataFrame:

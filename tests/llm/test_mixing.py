@@ -70,3 +70,15 @@ def test_documents_of_the_mix(spark, odd, empty):
 def test_no_words_at_all(spark):
     df = spark.createDataFrame([(1, "", "en", "a", 0), (2, None, "en", None, 0)], FIELDS)
     assert {(r.doc_id, r.target, r.copies) for r in m.mix(df).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
+
+
+def test_a_document_that_rules_its_source(spark):
+    """Three copies of the short ones meet a target that no number of copies of the long one does."""
+    sizes = [(0, "a", 800)] + [(i, "a", 10) for i in range(1, 21)] + [(100, "b", 500), (101, "b", 10)]
+    df = spark.createDataFrame(sizes, "doc_id long, source string, size long")
+    targets = spark.createDataFrame([("a", 1000, 21, 600.0), ("b", 510, 2, 505.0)], "source string, source_size long, units long, target double")
+    taken = {}
+    for r in m.round_copies(df, targets).collect():
+        assert 0 <= r.copies <= 3
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r.size
+    assert taken["a"] == 600 and abs(taken["b"] - 505) <= 5
