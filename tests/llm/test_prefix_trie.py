@@ -72,16 +72,10 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("rows", [sample(), ODD, sample(40, 5) + ODD[1:6], [(7, 0, "user", "alone")]], ids=["sample", "odd", "both", "one"])
-def test_against_plain_tries(spark, rows):
+@pytest.mark.parametrize("rows, every, heads", [(sample(), 100, 6), (ODD, 100, 6), (sample(90, 8), 10, 3)], ids=["sample", "odd", "parameters"])
+def test_against_plain_tries(spark, rows, every, heads):
     df = spark.createDataFrame(rows, FIELDS).withColumn("depth", F.lit("clash")).repartition(5)
-    assert nodes(df, walk=16) == plain(rows)
-
-
-def test_walk_and_groups_are_parameters(spark):
-    rows = sample(90, 8)
-    df = spark.createDataFrame(rows, FIELDS)
-    assert nodes(df, every=10, heads=3) == plain(rows, 10, 3)
+    assert nodes(df, every=every, heads=heads, walk=64) == plain(rows, every, heads)
 
 
 def test_no_conversations(spark):
