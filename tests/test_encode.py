@@ -57,10 +57,10 @@ def test_group_of_one_has_no_deviation(spark):
 
 @pytest.mark.parametrize("spread, around, digits", [(0, 1e8, 1e-9), (1e8, 0.0, 1e-6)])
 def test_deviation_beside_a_large_mean(spark, spread, around, digits):
-    df = fact()
+    df = fact(60)
     df["residual"] = 1e8 + spread * (df.store_id == "CA_1") + df.d % 7 / 8 + (df.item_id == "FOODS_1_001") / 4
     rows = to_spark(spark, df)
-    got = {(r.level, r.node, r.part, r.part_value): r for r in encode(rows, {"t": 151}, price=None, around=around).collect()}
+    got = {(r.level, r.node, r.part, r.part_value): r for r in encode(rows, {"t": 61}, price=None, around=around).collect()}
     for level, keys in (("LEVEL3", ["store_id"]), ("LEVEL5", ["dept_id"]), ("LEVEL10", ["item_id"]), ("LEVEL12", ["item_id", "store_id"])):
         for part, extra in PARTS.items():
             for key, y in df.groupby([*keys, *extra]).residual:

