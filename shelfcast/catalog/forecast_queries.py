@@ -365,11 +365,14 @@ quantiles AS (
 
 @query(
     "interval_quantiles",
-    f"""WITH {SQL_INTERVAL} SELECT level, node, h, CAST(q AS DOUBLE) AS q, {r.sql_rounded('value')} AS value FROM quantiles""",
+    f"""WITH {SQL_INTERVAL} SELECT level, node, CAST(q AS DOUBLE) AS q, count(*) AS n_days, {r.sql_rounded('sum(value)', 3)} AS total,
+      {r.sql_rounded('max(value)', 3)} AS largest FROM quantiles GROUP BY 1, 2, 3""",
 )
 def interval_quantiles(spark, sf):
-    """Nine quantiles of every node and horizon."""
-    return oi.interval_rows(node_forecast(spark, sf), half(spark, sf)).withColumn("value", r.rounded("value"))
+    """Nine quantiles of every node and horizon, summed over the horizons."""
+    rows = oi.interval_rows(node_forecast(spark, sf), half(spark, sf)).groupBy("level", "node", "q")
+    sums = rows.agg(F.count("*").alias("n_days"), F.sum("value").alias("total"), F.max("value").alias("largest"))
+    return sums.withColumns({c: r.rounded(c, 3) for c in ("total", "largest")})
 
 
 def dense_node_forecast(spark, sf):
