@@ -2,10 +2,15 @@
 
 import re
 
+import numpy as np
 import pytest
+from helpers import executed_plan
+from test_target_lags import residual_frame
 
 from shelfcast.operators import intervals as oi
+from shelfcast.operators import lags as ol
 from shelfcast.operators.forecast import horizon_columns
+from shelfcast.plans.manifests import lag_manifest
 from shelfcast.schema import TAIL_RANKS
 
 
@@ -30,3 +35,31 @@ def test_interval_lines_are_compiled(spark, longest_method):
     forecast = spark.createDataFrame([("a", "b", *[1.0] * 28)], "level string, node string, " + ", ".join(f"{c} double" for c in horizon_columns()))
     half = spark.createDataFrame([(1, "a", "b", *[0.5] * 4)], "anchor int, level string, node string, " + ", ".join(f"{oi.halfwidth_name(q)} double" for q in TAIL_RANKS))
     assert longest_method(oi.interval_layout(forecast.na.fill(0.0), half)) < 8000
+
+
+def test_lag_frames_are_compiled(spark, longest_method):
+    rows = spark.createDataFrame(residual_frame(False))
+    for rolls in (lag_manifest(7), lag_manifest(9), [ol.Roll(1, 14, "skew", 7), ol.Roll(1, 30, "kurt", 7), ol.Roll(1, 14, "std", 7), ol.Roll(1, 14, "max", 7)]):
+        assert longest_method(ol.add_rolls(rows, rolls)) < 8000
+
+
+def test_shapes_walk_no_frame_of_days(spark):
+    rows = spark.createDataFrame(residual_frame(False))
+    plan = executed_plan(ol.add_rolls(rows, [ol.Roll(1, 14, "skew"), ol.Roll(1, 30, "kurt")]))
+    assert "skewness(" not in plan and "kurtosis(" not in plan
+
+
+def test_equal_values_have_no_shape(spark):
+    values = [0.1 + 1 / 3] * 60 + [float(i % 5) + 1e6 for i in range(60)]
+    rows = spark.createDataFrame([("a", d, v) for d, v in enumerate(values)], "id string, d int, residual double")
+    rolls = [ol.Roll(1, w, fn) for w in (9, 14, 30) for fn in ("skew", "kurt")]
+    got = ol.add_rolls(rows, rolls).toPandas().set_index("d").sort_index()
+    for roll in rolls:
+        assert got[roll.name][:60].isna().all()
+        for d in (75, 119):
+            window = np.array(values[d - roll.window + 1 : d + 1])
+            n, x = roll.window, window - window.mean()
+            m2, m3, m4 = (x**2).mean(), (x**3).mean(), (x**4).mean()
+            skew = m3 / m2**1.5 * (n * (n - 1)) ** 0.5 / (n - 2)
+            kurt = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / m2**2 - 3) + 6)
+            assert got[roll.name][d] == pytest.approx(skew if roll.fn == "skew" else kurt, rel=1e-6, abs=1e-6)
