@@ -6,6 +6,7 @@ import pytest
 from helpers import executed_plan, long_sales
 from pyspark.sql import functions as F
 
+from shelfcast.catalog import retail as r
 from shelfcast.operators import backtest as ob
 from shelfcast.operators import encode as oe
 from shelfcast.operators import hierarchy as oh
@@ -93,3 +94,14 @@ def test_no_row_per_day(spark, name, step):
     import __spark_entry__ as entry
 
     assert step not in executed_plan(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+def test_partitions_by_item_follow_the_line_items(spark, monkeypatch):
+    columns = ["id", "d", "sales", "cents"]
+    few = r.leaf_sales(spark, SF).select(columns)
+    monkeypatch.setattr(r, "LINES_PER_PARTITION", 500)
+    many = r.leaf_sales(spark, SF).select(columns)
+    n = r.table(spark, SF, "lineitem").count()
+    assert r.by_item(spark, SF).rdd.getNumPartitions() == r.by_item(spark, SF, first=2000).rdd.getNumPartitions() == -(-n // 500) > 4
+    assert found(many, ("id", "d")) == found(few, ("id", "d"))
