@@ -3,9 +3,11 @@
 import os
 
 import pytest
+from helpers import executed_plan
 from pyspark.sql import functions as F
 
 from shelfcast.catalog import model_queries as mq
+from shelfcast.catalog import retail as r
 from shelfcast.operators import model as om
 from shelfcast.plans.manifests import feature_columns
 from shelfcast.schema import ANCHORS, TERMS
@@ -37,3 +39,13 @@ def test_fact_and_weights(spark):
     assert {r.store_id for r in total} == {r.store_id for r in inputs.leaf.select("store_id").distinct().collect()}
     assert all(r.w <= 1 / 12 + 1e-9 for r in total)
     assert inputs.train_weights.count() == inputs.leaf.select("id").distinct().count()
+
+
+def test_type_sales_make_no_row_per_item(spark):
+    """The sums of all items of a type, without a shuffle of line items by item."""
+    got = r.type_sales(spark, SF)
+    by_item = r.leaf_sales(spark, SF).groupBy("state_id", "store_id", "cat_id", "d").agg(F.sum("sales").alias("sales"), F.sum("cents").alias("cents"))
+    columns = ["state_id", "store_id", "cat_id", "d", "sales", "cents"]
+    assert {tuple(x) for x in got.select(columns).collect()} == {tuple(x) for x in by_item.select(columns).collect()}
+    assert got.where("id <> concat(cat_id, '_', store_id) OR dept_id <> cat_id OR item_id <> cat_id").isEmpty()
+    assert "REPARTITION_BY_NUM" not in executed_plan(got)
