@@ -43,6 +43,20 @@ def test_lag_frames_are_compiled(spark, longest_method):
         assert longest_method(ol.add_rolls(rows, rolls)) < 8000
 
 
+def test_statistics_of_wide_facts_are_compiled(spark, longest_method):
+    """However many columns a fact has, they pass through the windows as one."""
+    rows = residual_frame(False)
+    narrow = spark.createDataFrame(rows)
+    wide = spark.createDataFrame(rows.assign(**{f"x{i}": rows.id + "_" + (rows.d + i).astype(str) for i in range(50)}))
+    out = ol.with_statistics(wide)
+    assert out.columns == [*wide.columns, *[r.name for r in ol.ALL_ROLLS], ol.SINCE]
+    assert longest_method(out) < 8000
+    same = out.where("d = 40").select("id", "d", "x0", "x49", ol.ALL_ROLLS[0].name, ol.ALL_ROLLS[-1].name)
+    usual = ol.with_statistics(narrow).where("d = 40").select("id", "d", ol.ALL_ROLLS[0].name, ol.ALL_ROLLS[-1].name)
+    assert {(x.id, x.d, *x[4:]) for x in same.collect()} == {tuple(x) for x in usual.collect()}
+    assert all((x.x0, x.x49) == (f"{x.id}_{x.d}", f"{x.id}_{x.d + 49}") for x in same.collect())
+
+
 def test_shapes_walk_no_frame_of_days(spark):
     rows = spark.createDataFrame(residual_frame(False))
     plan = executed_plan(ol.add_rolls(rows, [ol.Roll(1, 14, "skew"), ol.Roll(1, 30, "kurt")]))
