@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 from helpers import executed_plan
+from pyspark.sql import functions as F
 from test_target_lags import residual_frame
 
 from shelfcast.operators import intervals as oi
@@ -43,6 +44,16 @@ def test_lag_frames_are_compiled(spark, longest_method):
         assert longest_method(ol.add_rolls(rows, rolls)) < 8000
 
 
+def test_sums_of_lag_frames_are_compiled(spark, longest_method):
+    rows = spark.createDataFrame(residual_frame(False)).withColumns({f"x{i}": F.col("d") + i for i in range(9)})
+    for h in (7, 9):
+        names = [r.name for r in lag_manifest(h)]
+        sums = ol.column_sums(ol.add_rolls(rows, lag_manifest(h)), names)
+        assert longest_method(sums) < 8000 and longest_method(ol.add_rolls(rows, lag_manifest(h))) < 8000
+        # The aggregate over the days is generated code, which one of 130 columns is not.
+        assert re.search(r"\*\(\d+\) HashAggregate\(keys=\[id#\d+, _present_0", executed_plan(sums))
+
+
 def test_statistics_of_wide_facts_are_compiled(spark, longest_method):
     """However many columns a fact has, they pass through the windows as one."""
     rows = residual_frame(False)

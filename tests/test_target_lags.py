@@ -136,3 +136,26 @@ def test_what_lies_before_the_window_leaves_no_error(spark):
     assert all(got[d] == pytest.approx(0.1, rel=1e-13) for d in range(30 + 28 + 365, 501))
     holed = ot.add_baseline(rows.where("d <> 300"), shift=5, window=40).collect()
     assert {r.d for r in holed if r.baseline is None} == {*range(1, 45), *range(301, 345)}
+
+
+def test_a_lag_moves_a_week_and_not_a_day(spark):
+    """Of the 65 columns each had lags of its own: about a hundred, in ten passes."""
+    rows = spark.createDataFrame(residual_frame(False))
+    for h in (7, 9):
+        plan = executed_plan(ol.add_rolls(rows, lag_manifest(h)))
+        assert plan.count("Window [") == 3 and plan.count("lag(") <= 25
+    sales = spark.createDataFrame([("a", 1, 2.0)], "id string, d int, sales double")
+    assert executed_plan(ot.add_baseline(sales)).count("Window [") == 3
+
+
+def test_column_sums_of_holed_columns(spark):
+    names = [f"c{i}" for i in range(70)]
+    rng = np.random.default_rng(2)
+    df = pd.DataFrame(np.where(rng.random((40, 70)) < 0.2, np.nan, rng.random((40, 70)).round(2)), columns=names)
+    df["c3"], df["c69"] = np.nan, np.nan
+    df.insert(0, "id", ["a", "b"] * 20)
+    rows = spark.createDataFrame(df.astype(object).where(df.notna(), None), "id string, " + ", ".join(f"{c} double" for c in names))
+    got = ol.column_sums(rows, names).toPandas().set_index("id")
+    assert list(got.columns) == [x for c in names for x in (c, f"n_{c}")]
+    for i, g in df.groupby("id"):
+        assert close(got.loc[i, names], g[names].sum(min_count=1)) and (got.loc[i, [f"n_{c}" for c in names]].values == g[names].count().values).all()
