@@ -1,5 +1,6 @@
 """Generated methods above 8,000 bytes are never compiled by the JVM: they run interpreted, row by row."""
 
+import os
 import re
 
 import numpy as np
@@ -8,12 +9,15 @@ from helpers import executed_plan
 from pyspark.sql import functions as F
 from test_target_lags import residual_frame
 
+from shelfcast.catalog import forecast_queries
 from shelfcast.operators import intervals as oi
 from shelfcast.operators import lags as ol
 from shelfcast.operators.forecast import horizon_columns
 from shelfcast.plans.manifests import lag_manifest
 from shelfcast.schema import TAIL_RANKS
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def longest_method(spark):
@@ -38,6 +42,11 @@ def test_interval_lines_are_compiled(spark, longest_method):
     assert longest_method(oi.interval_layout(forecast.na.fill(0.0), half)) < 8000
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="tables not present")
+def test_interval_quantiles_are_compiled(spark, longest_method):
+    assert longest_method(forecast_queries.interval_quantiles(spark, SF)) < 8000
+
+
 def test_lag_frames_are_compiled(spark, longest_method):
     rows = spark.createDataFrame(residual_frame(False))
     for rolls in (lag_manifest(7), lag_manifest(9), [ol.Roll(1, 14, "skew", 7), ol.Roll(1, 30, "kurt", 7), ol.Roll(1, 14, "std", 7), ol.Roll(1, 14, "max", 7)]):
